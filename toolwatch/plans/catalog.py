@@ -2,31 +2,50 @@
 
 The builders only assemble library operators; the oracle for each key lives in
 ``oracle_sql.py`` at the repository root.  Output doubles are rounded half-even
-to 6 places so the value hash does not depend on summation order.
+to 6 places (see ``finish``) so the value hash does not depend on summation order.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from toolwatch.functions import calendar as cal
+from toolwatch.functions import coerce
 from toolwatch.operators import chronic as chr_
-from toolwatch.operators import kpis
-from toolwatch.operators.enrich import enrich
+from toolwatch.operators import dims, kpis, reports, rolling
+from toolwatch.operators.enrich import enrich, with_process_class
+from toolwatch.operators.joins import scalar
 from toolwatch.rules import DEFAULT_RULES
-from toolwatch.sources import testbed
+from toolwatch.sources import scans, testbed
 
 OUTPUT_DIGITS = 6
 
+# Parameters of the registered report queries.
+HISTOGRAM_BIN_WIDTH = 50.0
+RANGE_START, RANGE_END = _dt.datetime(1997, 1, 1), _dt.datetime(1998, 1, 1)
+WEEK_RANGE = ("1997WW10", "1997WW30")
+EVENTS_PROCESSED_BEFORE = _dt.datetime(2024, 1, 15)
+SITE_FACT_BUILT_BEFORE = _dt.datetime(1999, 1, 1)
+
+
+# Quantisation cut placed at 0.618.. of a step instead of 0.5: a value with at
+# most 7 decimals (prices, hours, their exact sums and halves) can never sit on
+# the cut, so last-bit differences between engines cannot flip the result.
+QUANT_SHIFT = 0.5 - 0.6180339887498949
+
 
 def finish(df: DataFrame) -> DataFrame:
-    """Round every double column (rint on the scaled binary value, as the oracle does)."""
+    """Quantise every double column to 6 places for order-insensitive comparison."""
     f = float(10**OUTPUT_DIGITS)
     cols = {
-        fld.name: F.rint(F.col(fld.name) * f) / f for fld in df.schema.fields if isinstance(fld.dataType, DoubleType)
+        fld.name: F.rint(F.col(fld.name) * f + QUANT_SHIFT) / f
+        for fld in df.schema.fields
+        if isinstance(fld.dataType, DoubleType)
     }
     return df.withColumns(cols) if cols else df
 
@@ -39,11 +58,359 @@ def _chronic(ev: DataFrame) -> DataFrame:
     return chr_.chronic_tools(ev, DEFAULT_RULES)
 
 
-def site_week_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = enriched_events(spark, sf_dir)
-    return finish(kpis.site_week_kpis(ev, chr_.chronic_entities(_chronic(ev))))
+def _site(ev: DataFrame) -> DataFrame:
+    return kpis.site_week_kpis(ev, chr_.chronic_entities(_chronic(ev)))
+
+
+def _ceid(ev: DataFrame) -> DataFrame:
+    return kpis.ceid_week_kpis(ev, chr_.chronic_entities(_chronic(ev)))
+
+
+# ---- facts
+
+
+def q_site_week_kpis(spark, d):
+    return finish(_site(enriched_events(spark, d)))
+
+
+def q_ceid_week_kpis(spark, d):
+    return finish(_ceid(enriched_events(spark, d)))
+
+
+def q_part_week_summary(spark, d):
+    return finish(kpis.part_week_summary(enriched_events(spark, d)))
+
+
+def q_downtime_summary(spark, d):
+    return finish(kpis.downtime_summary(enriched_events(spark, d)))
+
+
+def q_cost_summary(spark, d):
+    return finish(kpis.cost_summary(enriched_events(spark, d), testbed.part_costs(spark, d)))
+
+
+def q_unified_roi(spark, d):
+    ev = enriched_events(spark, d)
+    return finish(
+        kpis.unified_roi(kpis.part_week_summary(ev), testbed.part_costs(spark, d), testbed.labour_costs(spark, d), ev)
+    )
+
+
+# ---- chronic
+
+
+def q_chronic_tools(spark, d):
+    ev = enriched_events(spark, d)
+    return finish(chr_.with_analysis_period(_chronic(ev), ev))
+
+
+def q_chronic_current(spark, d):
+    return finish(chr_.chronic_current(chr_.chronic_snapshots(enriched_events(spark, d))))
+
+
+def q_chronic_weekly_change(spark, d):
+    return finish(chr_.chronic_weekly(enriched_events(spark, d)))
+
+
+def q_severity_counts(spark, d):
+    return finish(reports.severity_counts(_chronic(enriched_events(spark, d))))
+
+
+def q_chronic_share(spark, d):
+    return finish(reports.chronic_share(_chronic(enriched_events(spark, d))))
+
+
+def q_top_chronic(spark, d):
+    c = _chronic(enriched_events(spark, d))
+    return finish(
+        reports.top_chronic(c).select(
+            "entity", "facility", "ceid", "process_class", "chronic_score", "chronic_severity",
+            "unscheduled_pm_rate", "life_cv", "total_pm_events",
+        )
+    )
+
+
+# ---- row-level enrichment and calendar
+
+
+def q_enriched_events(spark, d):
+    ev = enriched_events(spark, d)
+    return finish(
+        ev.select(
+            "order_key", "line_number", "entity", "facility", "ceid", "part_name", "event_ts", "work_week",
+            "process_class", "ww_year", "ww_number", "fiscal_quarter", "fiscal_month", "life_vs_target",
+            "life_vs_target_pct", "timing_class", "scheduled_flag", "scheduled_category", "cycle_efficiency",
+            "duration_outlier_flag", "reclean_flag", "sympathy_flag", "downtime_category", "primary_reason",
+            "quality_score",
+        )
+    )
+
+
+def q_class_left_join(spark, d):
+    ev = with_process_class(testbed.pm_events(spark, d), testbed.class_dimension(spark, d))
+    return ev.select("order_key", "line_number", "entity", "process_class")
+
+
+def q_event_calendar(spark, d):
+    dates = testbed.pm_events(spark, d).select(F.to_date("event_ts").alias("event_date")).distinct()
+    return dates.select(
+        "event_date",
+        cal.fiscal_year("event_date").alias("fiscal_year"),
+        cal.fiscal_day_of_year("event_date").alias("day_of_year"),
+        cal.fiscal_week("event_date").alias("fiscal_week"),
+        cal.work_week("event_date").alias("work_week"),
+    )
+
+
+def _fy_bounds(spark, d):
+    ev = testbed.pm_events(spark, d)
+    return scalar(ev, F.min(cal.fiscal_year("event_ts"))), scalar(ev, F.max(cal.fiscal_year("event_ts")))
+
+
+def q_date_dimension(spark, d):
+    lo, hi = _fy_bounds(spark, d)
+    return dims.date_dimension(spark, lo, hi - lo)
+
+
+def q_week_date_range(spark, d):
+    weeks = testbed.pm_events(spark, d).select("work_week").distinct()
+    y, w = cal.parse_work_week("work_week")
+    return weeks.select("work_week", cal.week_start(y, w).alias("week_start"), cal.week_end(y, w).alias("week_end"))
+
+
+def q_parse_work_week(spark, d):
+    labels = testbed.pm_events(spark, d).select("work_week").distinct()
+    variants = labels.select(
+        F.explode(
+            F.array(F.col("work_week"), F.concat("work_week", F.lit("nn")), F.substring("work_week", 3, 6))
+        ).alias("label")
+    ).distinct()
+    y, w = cal.parse_work_week("label")
+    return variants.select(
+        "label", y.alias("ww_year"), w.alias("ww_number"),
+        cal.fiscal_quarter(w).alias("fiscal_quarter"), cal.fiscal_month(w).alias("fiscal_month"),
+    )
+
+
+def q_calendar_star_join(spark, d):
+    ev = enriched_events(spark, d)
+    lo, hi = _fy_bounds(spark, d)
+    site = _site(ev).select("facility", "work_week", "total_pm_events", "total_downtime_hours")
+    return finish(dims.calendar_star_join(site, dims.week_dimension(spark, lo, hi)))
+
+
+def q_entity_dimension(spark, d):
+    return dims.entity_dimension(enriched_events(spark, d))
+
+
+# ---- rolling
+
+
+def q_rolling_range(spark, d):
+    s = rolling.rolling_range(_site(enriched_events(spark, d)))
+    return finish(
+        s.select("facility", "ww_year", "ww_number", "work_week", "rolling_4wk_avg_pm_life", "rolling_4wk_pm_count", "rolling_4wk_downtime_hours")
+    )
+
+
+def q_rolling_rows(spark, d):
+    s = rolling.rolling_rows(_site(enriched_events(spark, d)))
+    return finish(
+        s.select("facility", "ww_year", "ww_number", "work_week", "rolling_4wk_avg_pm_life", "rolling_4wk_pm_count", "rolling_4wk_downtime_hours")
+    )
+
+
+def q_rowcount_tolerance(spark, d):
+    ev = enriched_events(spark, d)
+    return finish(rolling.rowcount_tolerance(rolling.weekly_counts(ev)))
+
+
+def q_executive_view(spark, d):
+    return finish(reports.executive_view(rolling.rolling_range(_site(enriched_events(spark, d)))))
+
+
+# ---- distributions, profiles, measures
+
+
+def q_timing_distribution(spark, d):
+    return finish(reports.distribution(enriched_events(spark, d), "timing_class"))
+
+
+def q_scheduled_distribution(spark, d):
+    return finish(reports.distribution(enriched_events(spark, d), "scheduled_category"))
+
+
+def q_class_distribution(spark, d):
+    return finish(reports.distribution(enriched_events(spark, d), "process_class"))
+
+
+NULL_PROFILE_COLUMNS = ("entity", "facility", "ceid", "work_week", "event_ts", "downtime_type", "actual_life", "target_life", "sympathy", "downtime_class", "reason_primary")
+
+
+def q_null_profile(spark, d):
+    return finish(reports.null_profile(testbed.pm_events(spark, d), NULL_PROFILE_COLUMNS))
+
+
+def q_overall_null_pct(spark, d):
+    return finish(reports.overall_null_pct(testbed.pm_events(spark, d), NULL_PROFILE_COLUMNS))
+
+
+def q_loads_per_week(spark, d):
+    ev = testbed.raw_events(spark, d).withColumn("source_week", cal.work_week("ts"))
+    return reports.loads_per_week(ev, "source_week", "ts")
+
+
+def q_dashboard_measures(spark, d):
+    return finish(reports.dashboard_measures(enriched_events(spark, d)))
+
+
+def q_life_histogram(spark, d):
+    return finish(reports.life_histogram(enriched_events(spark, d), HISTOGRAM_BIN_WIDTH))
+
+
+def q_downtime_trend_pivot(spark, d):
+    return reports.downtime_trend_pivot(enriched_events(spark, d))
+
+
+def q_events_by_site(spark, d):
+    return finish(reports.events_by_site(enriched_events(spark, d)))
+
+
+def q_duplicate_keys(spark, d):
+    return reports.duplicate_keys(testbed.pm_events(spark, d), ["order_key", "line_number"])
+
+
+def q_coerce_types(spark, d):
+    """Events rendered as CSV-like strings (with NA tokens and junk) and coerced back."""
+    ev = testbed.pm_events(spark, d)
+    lnum = F.col("line_number")
+    raw = ev.select(
+        "order_key",
+        "line_number",
+        F.when(lnum == 7, F.lit("nan"))
+        .when(lnum == 6, F.lit("None"))
+        .when(lnum == 5, F.lit("N/A"))
+        .when(lnum == 4, F.concat(F.lit("x"), F.col("actual_life").cast("string")))
+        .otherwise(F.col("actual_life").cast("string"))
+        .alias("actual_life_txt"),
+        F.when(lnum == 3, F.lit("not a date"))
+        .when(lnum == 2, F.lit(""))
+        .otherwise(F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss"))
+        .alias("event_ts_txt"),
+        F.when(lnum == 1, F.lit("NULL")).otherwise(F.col("downtime_type")).alias("downtime_type_txt"),
+    )
+    return finish(
+        raw.select(
+            "order_key",
+            "line_number",
+            coerce.to_double("actual_life_txt").alias("actual_life"),
+            coerce.to_timestamp("event_ts_txt").cast("timestamp_ntz").alias("event_ts"),
+            coerce.null_tokens("downtime_type_txt").alias("downtime_type"),
+        )
+    )
+
+
+# ---- scans / increments / retention
+
+
+def q_incremental_events(spark, d):
+    raw = testbed.raw_events(spark, d)
+    processed = raw.filter(F.col("ts") < F.lit(EVENTS_PROCESSED_BEFORE))
+    return finish(scans.new_by_id(raw, processed, "event_id", "event_id"))
+
+
+def q_incremental_site_weeks(spark, d):
+    ev = enriched_events(spark, d)
+    built = _site(scans.date_range(ev, "event_ts", end=F.lit(SITE_FACT_BUILT_BEFORE)))
+    new = scans.new_by_keys(ev, built, ["facility", "work_week"])
+    return new.groupBy("facility", "work_week").agg(F.count(F.lit(1)).alias("new_events"))
+
+
+def q_date_range_scan(spark, d):
+    ev = scans.date_range(testbed.pm_events(spark, d), "event_ts", F.lit(RANGE_START), F.lit(RANGE_END))
+    return finish(ev.select("order_key", "line_number", "entity", "event_ts", "down_hours"))
+
+
+def q_week_range_scan(spark, d):
+    ev = scans.week_range(testbed.pm_events(spark, d), *WEEK_RANGE)
+    return ev.groupBy("work_week").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def q_last_7_days(spark, d):
+    ev = testbed.pm_events(spark, d)
+    as_of = scalar(ev, F.max("event_ts"))
+    return finish(scans.last_days(ev, "event_ts", as_of, 7).select("order_key", "line_number", "entity", "event_ts"))
+
+
+def q_retention_filter(spark, d):
+    ev = testbed.pm_events(spark, d)
+    as_of = scalar(ev, F.max("event_ts"))
+    kept = scans.retention(ev, "event_ts", as_of, DEFAULT_RULES.retention_weeks_raw)
+    return kept.groupBy("work_week").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# ---- top-k
+
+
+def q_top_unscheduled_ceids(spark, d):
+    return finish(reports.top_unscheduled_ceids(_ceid(enriched_events(spark, d))))
+
+
+def q_parts_needing_attention(spark, d):
+    return finish(reports.parts_needing_attention(kpis.part_week_summary(enriched_events(spark, d))))
+
+
+def q_latest_site_kpis(spark, d):
+    return finish(reports.latest_site_kpis(_site(enriched_events(spark, d))))
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "site_week_kpis": site_week_kpis,
+    "site_week_kpis": q_site_week_kpis,
+    "ceid_week_kpis": q_ceid_week_kpis,
+    "part_week_summary": q_part_week_summary,
+    "downtime_summary": q_downtime_summary,
+    "cost_summary": q_cost_summary,
+    "unified_roi": q_unified_roi,
+    "chronic_tools": q_chronic_tools,
+    "chronic_current": q_chronic_current,
+    "chronic_weekly_change": q_chronic_weekly_change,
+    "severity_counts": q_severity_counts,
+    "chronic_share": q_chronic_share,
+    "top_chronic": q_top_chronic,
+    "enriched_events": q_enriched_events,
+    "class_left_join": q_class_left_join,
+    "event_calendar": q_event_calendar,
+    "date_dimension": q_date_dimension,
+    "week_date_range": q_week_date_range,
+    "parse_work_week": q_parse_work_week,
+    "calendar_star_join": q_calendar_star_join,
+    "entity_dimension": q_entity_dimension,
+    "rolling_range": q_rolling_range,
+    "rolling_rows": q_rolling_rows,
+    "rowcount_tolerance": q_rowcount_tolerance,
+    "executive_view": q_executive_view,
+    "timing_distribution": q_timing_distribution,
+    "scheduled_distribution": q_scheduled_distribution,
+    "class_distribution": q_class_distribution,
+    "null_profile": q_null_profile,
+    "overall_null_pct": q_overall_null_pct,
+    "loads_per_week": q_loads_per_week,
+    "dashboard_measures": q_dashboard_measures,
+    "life_histogram": q_life_histogram,
+    "downtime_trend_pivot": q_downtime_trend_pivot,
+    "events_by_site": q_events_by_site,
+    "duplicate_keys": q_duplicate_keys,
+    "coerce_types": q_coerce_types,
+    "incremental_events": q_incremental_events,
+    "incremental_site_weeks": q_incremental_site_weeks,
+    "date_range_scan": q_date_range_scan,
+    "week_range_scan": q_week_range_scan,
+    "last_7_days": q_last_7_days,
+    "retention_filter": q_retention_filter,
+    "top_unscheduled_ceids": q_top_unscheduled_ceids,
+    "parts_needing_attention": q_parts_needing_attention,
+    "latest_site_kpis": q_latest_site_kpis,
 }
+
+# Backwards-compatible name used by the entry point.
+site_week_kpis = q_site_week_kpis

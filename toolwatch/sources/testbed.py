@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from toolwatch.functions.agg import exact_avg
 from toolwatch.functions.calendar import work_week
 
 
@@ -109,14 +110,14 @@ def part_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         li.join(part, li.l_partkey == part.p_partkey)
         .groupBy(F.concat(F.lit("T"), F.col("l_suppkey").cast("string")).alias("entity"), F.col("p_type").alias("part_name"))
-        .agg(F.avg("p_retailprice").alias("part_cost"))
+        .agg(exact_avg("p_retailprice").alias("part_cost"))
     )
 
 
 def labour_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (facility, ceid) labour cost per service: 40 per hour of mean downtime."""
     ev = pm_events(spark, sf_dir)
-    return ev.groupBy("facility", "ceid").agg((F.avg("down_hours") * 40.0).alias("labour_cost"))
+    return ev.groupBy("facility", "ceid").agg((exact_avg("down_hours") * 40.0).alias("labour_cost"))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
