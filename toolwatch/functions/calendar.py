@@ -1,11 +1,14 @@
 """Work-week calendar as pure column expressions.
 
 The fiscal year ends on the last Saturday of December; the next fiscal year
-starts on the following Sunday.  Weeks run Sunday..Saturday, week number is
+starts on the following Sunday.  Equivalently: a date belongs to the week that
+closes on the next Saturday (inclusive), and that Saturday's calendar year and
+Saturday count are the fiscal year and week.  Weeks run Sunday..Saturday, week number is
 ``(day_of_fiscal_year - 1) div 7 + 1`` (1..53) and the label is ``YYYYWWnn``.
 
-Everything is a closed form over ``make_date``/``dayofweek``/``datediff`` so it
-stays inside whole-stage codegen; no calendar table is needed to label events
+Everything is a short closed form over ``date_add``/``dayofweek``/``dayofyear``
+so it stays small inside whole-stage codegen even when Catalyst inlines it into
+pushed-down filters; no calendar table is needed to label events
 (the date dimension in ``operators.dims`` is built from the same expressions).
 """
 
@@ -33,19 +36,30 @@ def fy_end(year) -> Column:
     return F.date_sub(dec31, F.pmod(F.dayofweek(dec31), F.lit(7)))
 
 
-def fiscal_year(d) -> Column:
+def week_saturday(d) -> Column:
+    """The Saturday that closes the Sunday..Saturday week containing ``d``."""
     d = F.to_date(_c(d))
-    y = F.year(d)
-    return F.when(d > fy_end(y), y + 1).otherwise(y).cast("int")
+    return F.date_add(d, 7 - F.dayofweek(d))
 
 
-def fiscal_day_of_year(d) -> Column:
-    d = F.to_date(_c(d))
-    return F.datediff(d, fy_end(fiscal_year(d) - 1)).cast("int")
+def fiscal_year(d) -> Column:
+    """Fiscal year of ``d``.
+
+    Every Saturday of calendar year Y lies in fiscal year Y (the year ends on
+    the last Saturday of December and weeks never straddle years), so the
+    fiscal year is the calendar year of the week's closing Saturday.
+    """
+    return F.year(week_saturday(d)).cast("int")
 
 
 def fiscal_week(d) -> Column:
-    return (F.floor((fiscal_day_of_year(d) - 1) / 7) + 1).cast("int")
+    """Week number 1..53: the closing Saturday is the k-th Saturday of its year."""
+    return F.floor((F.dayofyear(week_saturday(d)) + 6) / 7).cast("int")
+
+
+def fiscal_day_of_year(d) -> Column:
+    """Day 1 is the Sunday the fiscal year starts on."""
+    return ((fiscal_week(d) - 1) * 7 + F.dayofweek(F.to_date(_c(d)))).cast("int")
 
 
 def week_label(year, week) -> Column:
