@@ -123,3 +123,32 @@ def labour_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The generic ``events`` table (unique ``event_id``) for id-based increments and load stats."""
     return _read(spark, sf_dir, "events")
+
+
+def render_weekly_files(events: DataFrame, root: str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> None:
+    """Write events in the weekly file layout (87 columns, header, one folder per week).
+
+    Uses Spark's partitioned CSV writer, so folders are ``work_week=<YYYYWWnn>/``
+    and rendering scales with the cluster.  Unmapped columns are left empty.
+    """
+    from toolwatch.sources.schemas import EVENT_COLUMN_MAP, EXPECTED_COLUMNS, storage_name
+
+    inverse = {v: k for k, v in EVENT_COLUMN_MAP.items()}
+    cols = []
+    for c in EXPECTED_COLUMNS:
+        src = next((n for n, f in inverse.items() if f == storage_name(c)), None)
+        if src == "event_ts":
+            cols.append(F.date_format(src, fmt).alias(c))
+        elif src is not None and src in events.columns:
+            cols.append(F.col(src).cast("string").alias(c))
+        else:
+            cols.append(F.lit(None).cast("string").alias(c))
+    out = events.select(*cols, F.col("work_week").alias("_week"))
+    (
+        out.withColumnRenamed("_week", "work_week")
+        .repartition("work_week")
+        .write.mode("overwrite")
+        .partitionBy("work_week")
+        .option("header", "true")
+        .csv(root)
+    )
