@@ -30,6 +30,8 @@ log = logging.getLogger(__name__)
 WEEK_PARTS = ("ww_year", "ww_number")
 # Distinct touched weeks are few (one per week of new data); broadcast bound.
 TOUCHED_WEEKS_BROADCAST_ROWS = 100_000
+# Files per week partition for fine-grained facts (tool/part x week grain).
+FACT_SPREAD = 4
 # Columns whose null share is reported after ingest.
 CRITICAL_RAW_COLUMNS = ("ENTITY", "FACILITY", "CEID", "YEARWW", "TXN_DATE", "DOWNTIME_TYPE", "CUSTOM_DELTA", "Median_Delta")
 
@@ -88,11 +90,34 @@ def bronze(
             sinks.append_load_log(spark, layout.load_log, source_file=path, source_week=week, rows_loaded=0,
                                   status="SKIPPED", error=None, seconds=time.perf_counter() - t0, layer="BRONZE", at=as_of)
             return stats
-    raw = files.read_event_csv(spark, path)
+    stats = ingest_files(spark, [path], layout, week, class_dim, as_of, validate, rules)
+    stats["seconds"] = time.perf_counter() - t0
+    sinks.append_load_log(spark, layout.load_log, source_file=path, source_week=week, rows_loaded=stats["rows_loaded"],
+                          status="SUCCESS", error=None, seconds=stats["seconds"], layer="BRONZE", at=as_of)
+    return {"status": "SUCCESS", "file": path, "work_week": week, **stats}
+
+
+def ingest_files(
+    spark: SparkSession,
+    paths: list[str],
+    layout: Layout,
+    work_week: str | None = None,
+    class_dim: DataFrame | None = None,
+    as_of: _dt.datetime | None = None,
+    validate: bool = True,
+    rules: Rules = DEFAULT_RULES,
+) -> dict:
+    """Read, validate, type, tag and append weekly files in one distributed job.
+
+    ``work_week`` stamps every row; when omitted each row takes the week from
+    its file's folder.
+    """
+    as_of = as_of or _dt.datetime.now()
+    raw = files.read_event_csv(spark, paths)
     if validate:
         files.validate_columns(raw)  # names as delivered, before renaming
     raw = files.rename_special(raw)
-    raw = files.add_load_metadata(raw, as_of, week)
+    raw = files.add_load_metadata(raw, as_of, work_week)
     raw = files.coerce_raw(raw)
     if class_dim is not None:
         dim = broadcast_if_small(
@@ -107,15 +132,12 @@ def bronze(
     raw = raw.observe(prof, F.count(F.lit(1)).alias("_n"), *[count_if(F.col(c).isNull()).alias(c) for c in crit])
     rows = sinks.write_table(raw, layout.raw, "append", partition_by=("source_week",))
     if rows == 0:
-        raise ValueError(f"empty input file {path}")
+        raise ValueError(f"empty input: {paths[:3]}")
     m = prof.get
     warn = [c for c in crit if m.get("_n") and (m.get(c) or 0) * 100.0 / m["_n"] > rules.null_pct_warning]
     if warn:
         log.warning("columns more than half null: %s", warn)
-    secs = time.perf_counter() - t0
-    sinks.append_load_log(spark, layout.load_log, source_file=path, source_week=week, rows_loaded=rows,
-                          status="SUCCESS", error=None, seconds=secs, layer="BRONZE", at=as_of)
-    return {"status": "SUCCESS", "file": path, "work_week": week, "rows_loaded": rows, "null_warnings": warn, "seconds": secs}
+    return {"rows_loaded": rows, "null_warnings": warn}
 
 
 # ---------------------------------------------------------------- silver
@@ -151,7 +173,7 @@ def silver(
     batch_weeks = all_ev.filter(F.col("enriched_at") == F.lit(as_of)).select(*WEEK_PARTS).distinct()
     touched = all_ev.join(broadcast_if_small(batch_weeks, TOUCHED_WEEKS_BROADCAST_ROWS), list(WEEK_PARTS), "left_semi")
     summary = kpis.downtime_summary(touched).withColumn("calculated_at", F.lit(as_of).cast("timestamp"))
-    n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS)
+    n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
 
     scope = scans.date_range(all_ev, "event_ts", start, end)
     chronic = chr_.with_analysis_period(chr_.chronic_tools(scope, rules), scope).withColumn(
@@ -203,11 +225,14 @@ def gold(
         ev = ev.join(broadcast_if_small(weeks, TOUCHED_WEEKS_BROADCAST_ROWS), list(WEEK_PARTS), "left_semi")
     chronic_e = latest_chronic_entities(spark, layout)
     stamp = F.lit(as_of).cast("timestamp")
+    def put(df: DataFrame, path: str, spread: int) -> int:
+        return sinks.write_table(df.withColumn("calculated_at", stamp), path, "replace", WEEK_PARTS, cluster=True, spread=spread)
+
     out = {
-        "site_rows": sinks.write_table(kpis.site_week_kpis(ev, chronic_e).withColumn("calculated_at", stamp), layout.site, "replace", WEEK_PARTS),
-        "ceid_rows": sinks.write_table(kpis.ceid_week_kpis(ev, chronic_e).withColumn("calculated_at", stamp), layout.ceid, "replace", WEEK_PARTS),
-        "part_rows": sinks.write_table(kpis.part_week_summary(ev).withColumn("calculated_at", stamp), layout.part, "replace", WEEK_PARTS),
-        "history_rows": sinks.write_table(chr_.chronic_weekly(ev, rules).withColumn("calculated_at", stamp), layout.history, "replace", WEEK_PARTS),
+        "site_rows": put(kpis.site_week_kpis(ev, chronic_e), layout.site, 1),
+        "ceid_rows": put(kpis.ceid_week_kpis(ev, chronic_e), layout.ceid, FACT_SPREAD),
+        "part_rows": put(kpis.part_week_summary(ev), layout.part, FACT_SPREAD),
+        "history_rows": put(chr_.chronic_weekly(ev, rules), layout.history, FACT_SPREAD),
     }
     # Rolling measures over the (small, aggregated) site fact; rewritten whole.
     site_all = spark.read.parquet(layout.site)
