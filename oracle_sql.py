@@ -381,6 +381,13 @@ SELECT {PART_KEYS}, replacement_count, life_saved,
 FROM partf LEFT JOIN saved USING ({PART_KEYS}) JOIN pcost USING (entity, part_name) JOIN lcost USING (facility, ceid)""",
         ("life_saved", "part_cost_total", "labour_cost_total", "roi", "roi_per_pm"),
     )
+    q["site_week_extra_measures"] = rounded(
+        f"""WITH {EV}
+SELECT {SITE_KEYS}, median(down_hours) AS median_downtime_hours, CAST(sum(reclean_flag) AS BIGINT) AS reclean_count,
+       avg(reclean_flag) AS reclean_rate, CAST(sum(sympathy_flag) AS BIGINT) AS sympathy_count
+FROM ev WHERE {NN(SITE_KEYS)} GROUP BY {SITE_KEYS}""",
+        ("median_downtime_hours", "reclean_rate"),
+    )
     q["chronic_tools"] = rounded(
         f"""WITH {EV},{TOOLS}
 SELECT *, (SELECT min(CAST(event_ts AS DATE)) FROM ev) AS analysis_start_date,

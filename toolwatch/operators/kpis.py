@@ -246,3 +246,14 @@ def unified_roi(part_summary: DataFrame, part_costs: DataFrame, labour_costs: Da
         (F.col("life_saved") * unit_value - F.col("part_cost") * n - F.col("labour_cost") * n).alias("roi"),
         ((F.col("life_saved") * unit_value - F.col("part_cost") * n - F.col("labour_cost") * n) / n).alias("roi_per_pm"),
     )
+
+
+def extra_measures(enriched: DataFrame, keys=SITE_KEYS) -> DataFrame:
+    """Alternative gold measures: median downtime, reclean count/rate, sympathy count per group."""
+    ev = _not_null(enriched, keys)
+    return ev.groupBy(*keys).agg(
+        F.median("down_hours").alias("median_downtime_hours"),
+        F.sum("reclean_flag").cast("long").alias("reclean_count"),
+        F.avg("reclean_flag").alias("reclean_rate"),
+        F.sum("sympathy_flag").cast("long").alias("sympathy_count"),
+    )

@@ -131,6 +131,10 @@ def events_by_site(enriched: DataFrame) -> DataFrame:
     )
 
 
+def distinct_weeks(df: DataFrame) -> DataFrame:
+    return df.select("ww_year", "ww_number", "work_week").distinct()
+
+
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     """Key values that occur more than once, with their multiplicity."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("dup_count")).filter(F.col("dup_count") > 1)

@@ -89,6 +89,10 @@ def q_cost_summary(spark, d):
     return finish(kpis.cost_summary(enriched_events(spark, d), testbed.part_costs(spark, d)))
 
 
+def q_site_week_extra_measures(spark, d):
+    return finish(kpis.extra_measures(enriched_events(spark, d)))
+
+
 def q_unified_roi(spark, d):
     ev = enriched_events(spark, d)
     return finish(
@@ -371,6 +375,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "downtime_summary": q_downtime_summary,
     "cost_summary": q_cost_summary,
     "unified_roi": q_unified_roi,
+    "site_week_extra_measures": q_site_week_extra_measures,
     "chronic_tools": q_chronic_tools,
     "chronic_current": q_chronic_current,
     "chronic_weekly_change": q_chronic_weekly_change,
