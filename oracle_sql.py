@@ -458,6 +458,21 @@ SELECT CAST(strftime(date_value, '%Y%m%d') AS INTEGER) AS date_key, date_value,
        CAST(isodow(date_value) - 1 AS INTEGER) AS day_of_week, dayname(date_value) AS day_name,
        CASE WHEN isodow(date_value) >= 6 THEN 1 ELSE 0 END AS is_weekend
 FROM d3"""
+    q["calendar_days"] = f"""WITH {PM},{FY_BOUNDS},
+days AS (SELECT CAST(unnest(generate_series(CAST({FY_END('lo - 1')} + 1 AS TIMESTAMP), CAST({FY_END('hi')} AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_value FROM fyb),
+d1 AS (SELECT date_value, {FY('date_value')} AS fiscal_year FROM days),
+d2 AS (SELECT *, CAST(date_diff('day', {FY_END('fiscal_year - 1')}, date_value) AS INTEGER) AS day_of_year FROM d1)
+SELECT date_value, day_of_year, fiscal_year, CAST((day_of_year - 1) // 7 + 1 AS INTEGER) AS fiscal_week,
+       CAST(fiscal_year AS VARCHAR) || 'WW' || lpad(CAST((day_of_year - 1) // 7 + 1 AS VARCHAR), 2, '0') AS work_week,
+       CAST(isodow(date_value) - 1 AS INTEGER) AS day_of_week
+FROM d2"""
+    q["week_dimension"] = f"WITH {PM},{WEEKS_DIM} SELECT * FROM weekdim"
+    q["distinct_weeks"] = f"WITH {EV} SELECT DISTINCT ww_year, ww_number, work_week FROM ev"
+    q["chronic_snapshots"] = rounded(
+        f"""WITH {EV},{_tool_scored("entity, facility, ceid, process_class, ww_year", name="snap")}
+SELECT *, {FY_END('ww_year')} AS calculation_date FROM snap""",
+        TOOL_DOUBLES,
+    )
     parse_year = "TRY_CAST(NULLIF(regexp_extract(work_week, '^(\\d{4})WW(\\d{2})', 1), '') AS INTEGER)"
     parse_week = "TRY_CAST(NULLIF(regexp_extract(work_week, '^(\\d{4})WW(\\d{2})', 2), '') AS INTEGER)"
     q["week_date_range"] = f"""WITH {PM}, w AS (SELECT DISTINCT work_week FROM pm),

@@ -141,9 +141,17 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 
 
 def drop_duplicate_keys(df: DataFrame, keys, order_col: str) -> DataFrame:
-    """Keep the latest row per key (window per key; ties broken by all columns)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc_nulls_last(), *[F.col(c) for c in df.columns])
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """Keep the latest row per key (ties: the largest row), as an aggregate.
+
+    ``max_by`` keeps one candidate row per key in each map task, so a key that
+    holds a large share of the rows is reduced map-side instead of being sorted
+    whole in one task (which a per-key window would do).
+    """
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in rest])
+    order = F.struct(F.col(order_col), row)
+    picked = df.groupBy(*keys).agg(F.max_by(row, order).alias("_row"))
+    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 # ---- top-k (each with a unique tie-break so the answer is deterministic)

@@ -176,6 +176,24 @@ def q_date_dimension(spark, d):
     return dims.date_dimension(spark, lo, hi - lo)
 
 
+def q_calendar_days(spark, d):
+    lo, hi = _fy_bounds(spark, d)
+    return dims.calendar(spark, lo, hi - lo)
+
+
+def q_week_dimension(spark, d):
+    lo, hi = _fy_bounds(spark, d)
+    return dims.week_dimension(spark, lo, hi)
+
+
+def q_distinct_weeks(spark, d):
+    return reports.distinct_weeks(enriched_events(spark, d))
+
+
+def q_chronic_snapshots(spark, d):
+    return finish(chr_.chronic_snapshots(enriched_events(spark, d)))
+
+
 def q_week_date_range(spark, d):
     weeks = testbed.pm_events(spark, d).select("work_week").distinct()
     y, w = cal.parse_work_week("work_week")
@@ -386,6 +404,10 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_left_join": q_class_left_join,
     "event_calendar": q_event_calendar,
     "date_dimension": q_date_dimension,
+    "calendar_days": q_calendar_days,
+    "week_dimension": q_week_dimension,
+    "distinct_weeks": q_distinct_weeks,
+    "chronic_snapshots": q_chronic_snapshots,
     "week_date_range": q_week_date_range,
     "parse_work_week": q_parse_work_week,
     "calendar_star_join": q_calendar_star_join,
