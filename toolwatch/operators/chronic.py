@@ -65,17 +65,23 @@ def chronic_tools(enriched: DataFrame, rules: Rules = DEFAULT_RULES, keys=TOOL_K
 def with_analysis_period(chronic: DataFrame, enriched: DataFrame) -> DataFrame:
     """Stamp the global first/last event date and whole weeks between them.
 
-    The two dates are scalar subqueries over the events (a one-row job each), not
-    a join, so the chronic table keeps its partitioning.
+    Both dates come from one scalar subquery over the events (a one-row job),
+    not a join, so the chronic table keeps its partitioning.
     """
-    start = scalar(enriched, F.min(F.to_date("event_ts")))
-    end = scalar(enriched, F.max(F.to_date("event_ts")))
-    return chronic.withColumns(
-        {
-            "analysis_start_date": start,
-            "analysis_end_date": end,
-            "weeks_analyzed": F.floor(F.datediff(end, start) / 7).cast("int"),
-        }
+    period = scalar(enriched, F.struct(F.min(F.to_date("event_ts")).alias("lo"), F.max(F.to_date("event_ts")).alias("hi")))
+    # Attach the subquery once and derive from the column: each textual use of
+    # a scalar subquery would otherwise be planned (and run) separately.
+    start, end = F.col("_period.lo"), F.col("_period.hi")
+    return (
+        chronic.withColumn("_period", period)
+        .withColumns(
+            {
+                "analysis_start_date": start,
+                "analysis_end_date": end,
+                "weeks_analyzed": F.floor(F.datediff(end, start) / 7).cast("int"),
+            }
+        )
+        .drop("_period")
     )
 
 

@@ -22,5 +22,7 @@ def scalar(df: DataFrame, expr: Column) -> Column:
 
     Spark runs the one-row aggregate as its own job and inlines the value, so no
     join (and no cartesian product) is needed to attach a global statistic.
+    Use the returned column once (e.g. attach it with ``withColumn`` and refer
+    to that column): every separate use is planned as its own subquery.
     """
     return df.select(expr).scalar()

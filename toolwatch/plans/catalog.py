@@ -167,23 +167,22 @@ def q_event_calendar(spark, d):
 
 
 def _fy_bounds(spark, d):
+    """First and last fiscal year of the events, as one struct-valued scalar subquery."""
     ev = testbed.pm_events(spark, d)
-    return scalar(ev, F.min(cal.fiscal_year("event_ts"))), scalar(ev, F.max(cal.fiscal_year("event_ts")))
+    fy = cal.fiscal_year("event_ts")
+    return scalar(ev, F.struct(F.min(fy).alias("lo"), F.max(fy).alias("hi")))
 
 
 def q_date_dimension(spark, d):
-    lo, hi = _fy_bounds(spark, d)
-    return dims.date_dimension(spark, lo, hi - lo)
+    return dims.date_dimension(spark, _fy_bounds(spark, d))
 
 
 def q_calendar_days(spark, d):
-    lo, hi = _fy_bounds(spark, d)
-    return dims.calendar(spark, lo, hi - lo)
+    return dims.calendar(spark, _fy_bounds(spark, d))
 
 
 def q_week_dimension(spark, d):
-    lo, hi = _fy_bounds(spark, d)
-    return dims.week_dimension(spark, lo, hi)
+    return dims.week_dimension(spark, _fy_bounds(spark, d))
 
 
 def q_distinct_weeks(spark, d):
@@ -216,9 +215,8 @@ def q_parse_work_week(spark, d):
 
 def q_calendar_star_join(spark, d):
     ev = enriched_events(spark, d)
-    lo, hi = _fy_bounds(spark, d)
     site = _site(ev).select("facility", "work_week", "total_pm_events", "total_downtime_hours")
-    return finish(dims.calendar_star_join(site, dims.week_dimension(spark, lo, hi)))
+    return finish(dims.calendar_star_join(site, dims.week_dimension(spark, _fy_bounds(spark, d))))
 
 
 def q_entity_dimension(spark, d):

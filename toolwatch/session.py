@@ -27,6 +27,9 @@ def get_spark(app: str = "toolwatch", master: str | None = None, shuffle_partiti
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.parquet.filterPushdown", "true")
+        # Global MIN/MAX/COUNT over stored tables (as-of dates, retention cut-offs)
+        # are answered from parquet footers instead of a scan.
+        .config("spark.sql.parquet.aggregatePushdown", "true")
     )
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
