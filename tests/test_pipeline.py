@@ -95,3 +95,37 @@ def test_stream_matches_batch_and_folds_late_events(spark, rendered, tmpdir_path
     fac = late.first().facility
     assert after[(fac, WEEKS[0])] == before[(fac, WEEKS[0])] + 1
     assert sum(after.values()) == sum(before.values()) + 1
+
+
+def test_full_pipeline_and_incremental_gold_modes(spark, rendered, tmpdir_path):
+    root, ev = rendered
+    layout = jobs.Layout(tmpdir_path)
+    dim = testbed.class_dimension(spark, SF_SMALL)
+    # Nothing loaded yet: gold is the last layer, so its failure surfaces.
+    with pytest.raises(Exception):
+        jobs.full_pipeline(spark, root, layout, work_week="1990WW01", class_dim=dim, as_of=AS_OF)
+    res = jobs.full_pipeline(spark, root, layout, work_week=WEEKS[0], class_dim=dim, as_of=AS_OF)
+    assert res["bronze"]["status"] == "SUCCESS" and res["silver"]["status"] == "SUCCESS" and res["gold"]["status"] == "SUCCESS"
+    first = {r.work_week for r in spark.read.parquet(layout.site).select("work_week").distinct().collect()}
+    assert first == {WEEKS[0]}
+    # A bronze failure (no file for this week) is tolerated because later layers still run.
+    res = jobs.full_pipeline(spark, root, layout, work_week="1990WW01", class_dim=dim, as_of=AS_OF + dt.timedelta(days=1))
+    assert res["bronze"]["status"] == "FAILED" and res["silver"]["status"] == "NO_DATA" and res["gold"]["status"] == "SUCCESS"
+
+    # Second week arrives; a late event for the first week is appended to the enriched table too.
+    later = AS_OF + dt.timedelta(days=7)
+    jobs.bronze(spark, root, layout, work_week=WEEKS[1], class_dim=dim, as_of=later)
+    jobs.silver(spark, layout, as_of=later)
+    late = spark.read.parquet(layout.enriched).filter(F.col("work_week") == WEEKS[0]).limit(1) \
+        .withColumn("pm_raw_id", F.lit("late-1")).withColumn("enriched_at", F.lit(later + dt.timedelta(hours=1)))
+    late.write.mode("append").partitionBy("ww_year", "ww_number").parquet(layout.enriched)
+    n0 = {r.work_week: r.n for r in spark.read.parquet(layout.site).groupBy("work_week").agg(F.sum("total_pm_events").alias("n")).collect()}
+
+    # skip_done: weeks already in the site fact are left alone (the late event is ignored) ...
+    jobs.gold(spark, layout, skip_done=True, as_of=later)
+    n1 = {r.work_week: r.n for r in spark.read.parquet(layout.site).groupBy("work_week").agg(F.sum("total_pm_events").alias("n")).collect()}
+    assert n1[WEEKS[0]] == n0[WEEKS[0]] and WEEKS[1] in n1
+    # ... while since= recomputes every week that received rows, folding the late event in.
+    jobs.gold(spark, layout, since=later, as_of=later)
+    n2 = {r.work_week: r.n for r in spark.read.parquet(layout.site).groupBy("work_week").agg(F.sum("total_pm_events").alias("n")).collect()}
+    assert n2[WEEKS[0]] == n0[WEEKS[0]] + 1 and n2[WEEKS[1]] == n1[WEEKS[1]]
