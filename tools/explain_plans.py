@@ -22,10 +22,10 @@ DEFAULT = ("site_week_kpis", "chronic_tools", "part_week_summary", "rolling_rang
            "incremental_events", "entity_dimension", "dashboard_measures")
 
 
-def formatted(df) -> str:
+def formatted(df, mode: str = "formatted") -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
+        df.explain(mode)
     return buf.getvalue()
 
 
@@ -43,11 +43,11 @@ def summarise(text: str) -> dict:
                 "schema": rs.group(1) if rs else "?",
             })
     return {
-        "exchanges": len(re.findall(r"\bExchange \(", head)) + len(re.findall(r"\+- Exchange", head)),
+        "exchanges": len(re.findall(r"(?<!Broadcast)Exchange \(\d+\)", head)),
         "broadcasts": head.count("BroadcastExchange"),
         "smj": head.count("SortMergeJoin"),
         "bhj": head.count("BroadcastHashJoin"),
-        "codegen": len(re.findall(r"\*\(\d+\)|WholeStageCodegen", text)),
+        "codegen": 0,
         "scans": scans,
     }
 
@@ -65,9 +65,20 @@ def main() -> None:
     for n in names:
         df = catalog.REGISTRY[n](spark, sf_dir)
         s = summarise(formatted(df))
+        # Codegen stages are only inserted at stage materialisation under AQE;
+        # count them on the static plan of the same query.
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        simple = formatted(catalog.REGISTRY[n](spark, sf_dir), "simple")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        s["codegen"] = len(set(re.findall(r"\*\((\d+)\)", simple)))
+        nodes = re.findall(r"(?:\+- |^)(\*\(\d+\) )?([A-Z][A-Za-z]+)", simple, re.M)
+        s["outside"] = sorted({op for cg, op in nodes if not cg and op not in (
+            "Exchange", "BroadcastExchange", "AdaptiveSparkPlan", "Subquery", "ReusedExchange", "ReusedSubquery")})
         print(f"## {n}\n")
         print(f"- shuffles: {s['exchanges']}, broadcast exchanges: {s['broadcasts']}, "
-              f"sort-merge joins: {s['smj']}, broadcast hash joins: {s['bhj']}, codegen markers: {s['codegen']}")
+              f"sort-merge joins: {s['smj']}, broadcast hash joins: {s['bhj']}, whole-stage-codegen stages: {s['codegen']}")
+        if s["outside"]:
+            print(f"- operators outside codegen: {', '.join(s['outside'])}")
         for sc in s["scans"]:
             print(f"- scan `{sc['table']}` pushed {sc['pushed']} reads `{sc['schema']}`")
         print()
