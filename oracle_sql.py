@@ -437,6 +437,12 @@ SELECT order_key, line_number, entity, facility, ceid, part_name, event_ts, work
 FROM ev""",
         ("life_vs_target", "life_vs_target_pct", "cycle_efficiency", "quality_score"),
     )
+    q["enriched_with_chronic"] = rounded(
+        f"""WITH {EV},{TOOLS}
+SELECT ev.order_key, ev.line_number, ev.entity, ev.facility, ev.ceid, COALESCE(s.chronic_flag, 0) AS chronic_flag, s.chronic_score
+FROM ev LEFT JOIN scored s ON ev.entity = s.entity AND ev.facility = s.facility AND ev.ceid = s.ceid""",
+        ("chronic_score",),
+    )
     q["class_left_join"] = f"""WITH {PM},{CLASSDIM}
 SELECT order_key, line_number, entity, COALESCE(c.process_class, 'UNKNOWN') AS process_class
 FROM pm LEFT JOIN (SELECT entity, min(process_class) AS process_class FROM classdim GROUP BY entity) c USING (entity)"""

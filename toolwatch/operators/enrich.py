@@ -55,7 +55,7 @@ def with_process_class(events: DataFrame, class_dim: DataFrame | None) -> DataFr
     """Left join events to the per-tool class; tools without a class get UNKNOWN."""
     if class_dim is None:
         return events.withColumn("process_class", F.lit(UNKNOWN_CLASS))
-    dim = broadcast_if_small(dedupe_class_dimension(class_dim), CLASS_DIM_BROADCAST_ROWS)
+    dim = broadcast_if_small(dedupe_class_dimension(class_dim), CLASS_DIM_BROADCAST_ROWS, bound_by=class_dim)
     return events.join(dim, "entity", "left").withColumn(
         "process_class", F.coalesce(F.col("process_class"), F.lit(UNKNOWN_CLASS))
     )
@@ -115,3 +115,20 @@ def project_enriched(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Keep only the enriched-table columns that exist (plus ``extra``)."""
     want = [c for c in (*extra, *ENRICHED_COLUMNS) if c in df.columns]
     return df.select(*want)
+
+
+# Max rows of a chronic snapshot (one row per tool) we are willing to broadcast.
+CHRONIC_BROADCAST_ROWS = 5_000_000
+
+
+def with_chronic_status(enriched: DataFrame, chronic_snapshot: DataFrame) -> DataFrame:
+    """Left-join each event to its tool's chronic flag and score from one chronic snapshot.
+
+    The snapshot has one row per (entity, facility, ceid); its size follows the
+    fleet, so it is broadcast only behind the size check.
+    """
+    keys = ["entity", "facility", "ceid"]
+    snap = chronic_snapshot.select(*keys, "chronic_flag", "chronic_score")
+    side = broadcast_if_small(snap, CHRONIC_BROADCAST_ROWS)
+    out = enriched.join(side, keys, "left")
+    return out.withColumn("chronic_flag", F.coalesce(F.col("chronic_flag"), F.lit(0)))

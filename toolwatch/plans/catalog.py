@@ -18,7 +18,7 @@ from toolwatch.functions import calendar as cal
 from toolwatch.functions import coerce
 from toolwatch.operators import chronic as chr_
 from toolwatch.operators import dims, kpis, reports, rolling
-from toolwatch.operators.enrich import enrich, with_process_class
+from toolwatch.operators.enrich import enrich, with_chronic_status, with_process_class
 from toolwatch.operators.joins import scalar
 from toolwatch.rules import DEFAULT_RULES
 from toolwatch.sources import scans, testbed
@@ -150,6 +150,13 @@ def q_enriched_events(spark, d):
     )
 
 
+def q_enriched_with_chronic(spark, d):
+    ev = enriched_events(spark, d)
+    snap = _chronic(ev)
+    out = with_chronic_status(ev, snap)
+    return finish(out.select("order_key", "line_number", "entity", "facility", "ceid", "chronic_flag", "chronic_score"))
+
+
 def q_class_left_join(spark, d):
     ev = with_process_class(testbed.pm_events(spark, d), testbed.class_dimension(spark, d))
     return ev.select("order_key", "line_number", "entity", "process_class")
@@ -400,6 +407,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_chronic": q_top_chronic,
     "enriched_events": q_enriched_events,
     "class_left_join": q_class_left_join,
+    "enriched_with_chronic": q_enriched_with_chronic,
     "event_calendar": q_event_calendar,
     "date_dimension": q_date_dimension,
     "calendar_days": q_calendar_days,

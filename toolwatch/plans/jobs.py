@@ -21,15 +21,13 @@ from toolwatch.functions.agg import count_if
 from toolwatch.operators import chronic as chr_
 from toolwatch.operators import dims, kpis, rolling
 from toolwatch.operators.enrich import enrich, project_enriched
-from toolwatch.operators.joins import broadcast_if_small
+from toolwatch.operators.joins import broadcast_if_small, broadcast_weeks
 from toolwatch.rules import DEFAULT_RULES, Rules
 from toolwatch.sources import files, scans
 
 log = logging.getLogger(__name__)
 
 WEEK_PARTS = ("ww_year", "ww_number")
-# Distinct touched weeks are few (one per week of new data); broadcast bound.
-TOUCHED_WEEKS_BROADCAST_ROWS = 100_000
 # Files per week partition for fine-grained facts (tool/part x week grain).
 FACT_SPREAD = 4
 # Columns whose null share is reported after ingest.
@@ -84,7 +82,8 @@ def bronze(
     else:
         path, week = files.find_latest_file(spark, source_root, max_weeks_back=max_weeks_back)
     if sinks.table_exists(spark, layout.raw):
-        done = spark.read.parquet(layout.raw).filter(F.col("source_file") == path).limit(1).count()
+        loaded = spark.read.parquet(layout.raw).filter((F.col("source_week") == week) & (F.col("source_file") == path))
+        done = loaded.limit(1).count()
         if done:
             stats = {"status": "SKIPPED", "file": path, "work_week": week, "rows_loaded": 0}
             sinks.append_load_log(spark, layout.load_log, source_file=path, source_week=week, rows_loaded=0,
@@ -106,9 +105,14 @@ def ingest_files(
     as_of: _dt.datetime | None = None,
     validate: bool = True,
     rules: Rules = DEFAULT_RULES,
+    null_action: str = "warn",
 ) -> dict:
     """Read, validate, type, tag and append weekly files in one distributed job.
 
+    ``null_action``: what a critical column with more than the rule's null
+    share does -- ``warn`` (log and report) or ``fail`` (raise after the write,
+    so the rows are kept for inspection and the load is reported as failed).
+
     ``work_week`` stamps every row; when omitted each row takes the week from
     its file's folder.
     """
@@ -121,7 +125,7 @@ def ingest_files(
     raw = files.coerce_raw(raw)
     if class_dim is not None:
         dim = broadcast_if_small(
-            class_dim.groupBy("entity").agg(F.min("process_class").alias("process_class")), 2_000_000
+            class_dim.groupBy("entity").agg(F.min("process_class").alias("process_class")), 2_000_000, bound_by=class_dim
         ).withColumnRenamed("entity", "ENTITY")
         raw = raw.join(dim, "ENTITY", "left")
     raw = raw.withColumn("process_class", F.coalesce(F.col("process_class") if "process_class" in raw.columns else F.lit(None), F.lit("UNKNOWN")))
@@ -137,6 +141,8 @@ def ingest_files(
     warn = [c for c in crit if m.get("_n") and (m.get(c) or 0) * 100.0 / m["_n"] > rules.null_pct_warning]
     if warn:
         log.warning("columns more than half null: %s", warn)
+        if null_action == "fail":
+            raise ValueError(f"columns above the null threshold: {warn}")
     return {"rows_loaded": rows, "null_warnings": warn}
 
 
@@ -171,7 +177,7 @@ def silver(
 
     all_ev = spark.read.parquet(layout.enriched)
     batch_weeks = all_ev.filter(F.col("enriched_at") == F.lit(as_of)).select(*WEEK_PARTS).distinct()
-    touched = all_ev.join(broadcast_if_small(batch_weeks, TOUCHED_WEEKS_BROADCAST_ROWS), list(WEEK_PARTS), "left_semi")
+    touched = all_ev.join(broadcast_weeks(batch_weeks), list(WEEK_PARTS), "left_semi")
     summary = kpis.downtime_summary(touched).withColumn("calculated_at", F.lit(as_of).cast("timestamp"))
     n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
 
@@ -222,7 +228,7 @@ def gold(
         ev = scans.new_by_keys(ev, spark.read.parquet(layout.site), ["facility", "work_week"])
     elif since is not None:
         weeks = ev.filter(F.col("enriched_at") >= F.lit(since)).select(*WEEK_PARTS).distinct()
-        ev = ev.join(broadcast_if_small(weeks, TOUCHED_WEEKS_BROADCAST_ROWS), list(WEEK_PARTS), "left_semi")
+        ev = ev.join(broadcast_weeks(weeks), list(WEEK_PARTS), "left_semi")
     chronic_e = latest_chronic_entities(spark, layout)
     stamp = F.lit(as_of).cast("timestamp")
     def put(df: DataFrame, path: str, spread: int) -> int:
