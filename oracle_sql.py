@@ -357,6 +357,14 @@ weekdim AS (
 def queries_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["site_week_kpis"] = rounded(f"WITH {EV},{SITE_FACT} SELECT * FROM site", SITE_DOUBLES)
+    # End-to-end runs: the batch pipeline must reproduce the site fact exactly; the
+    # stream gold job is run without a chronic table, so its chronic counts are 0.
+    q["pipeline_site_week"] = q["site_week_kpis"]
+    q["stream_site_week"] = rounded(
+        f"""WITH {EV},{SITE_FACT}
+SELECT * REPLACE (CAST(0 AS BIGINT) AS chronic_tools_count, 0.0 AS chronic_tools_pct) FROM site""",
+        SITE_DOUBLES,
+    )
     q["ceid_week_kpis"] = rounded(f"WITH {EV},{CEID_FACT} SELECT * FROM ceidf", CEID_DOUBLES)
     q["part_week_summary"] = rounded(f"WITH {EV},{PART} SELECT * FROM partf", PART_DOUBLES)
     q["downtime_summary"] = rounded(f"WITH {EV},{DOWNTIME} SELECT * FROM dsum", DOWNTIME_DOUBLES)

@@ -391,6 +391,56 @@ def q_latest_site_kpis(spark, d):
     return finish(reports.latest_site_kpis(_site(enriched_events(spark, d))))
 
 
+# ---- end to end: files -> jobs / streams -> facts (each run in a fresh scratch folder)
+
+PIPELINE_AS_OF = _dt.datetime(2024, 6, 1)
+SITE_OUTPUT = (
+    "facility", "ww_year", "ww_number", "work_week", "total_pm_events", "scheduled_pm_events",
+    "unscheduled_pm_events", "early_pm_count", "on_time_pm_count", "late_pm_count", "overdue_pm_count",
+    "total_downtime_hours", "avg_downtime_per_pm", "avg_pm_life", "median_pm_life", "target_pm_life",
+    "avg_life_vs_target", "total_tools_count", "chronic_tools_count", "chronic_tools_pct", "unscheduled_pm_rate",
+    "early_pm_rate", "on_time_pm_rate", "overdue_pm_rate", "scheduled_downtime_hours", "unscheduled_downtime_hours",
+)
+
+
+def _scratch(spark: SparkSession, tag: str) -> str:
+    import uuid
+
+    from toolwatch.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/toolwatch-{tag}-{uuid.uuid4().hex}"
+
+
+def q_pipeline_site_week(spark, d):
+    """Whole tables rendered as weekly files, then bronze -> silver -> gold; the stored site fact."""
+    from toolwatch.plans import jobs
+    from toolwatch.sources import files
+
+    run = _scratch(spark, "pipeline")
+    testbed.render_weekly_files(testbed.pm_events(spark, d), f"{run}/source")
+    layout = jobs.Layout(f"{run}/warehouse")
+    paths = [r.path for r in files.list_week_files(spark, f"{run}/source").select("path").collect()]
+    jobs.ingest_files(spark, paths, layout, class_dim=testbed.class_dimension(spark, d), as_of=PIPELINE_AS_OF)
+    jobs.silver(spark, layout, as_of=PIPELINE_AS_OF, build_summary=False)
+    jobs.gold(spark, layout, as_of=PIPELINE_AS_OF, facts=("site",))
+    return finish(spark.read.parquet(layout.site).select(*SITE_OUTPUT))
+
+
+def q_stream_site_week(spark, d):
+    """Whole tables rendered as weekly files, then ingest / enrich / gold streams; the site fact."""
+    from toolwatch.streaming import incremental
+
+    run = _scratch(spark, "stream")
+    testbed.render_weekly_files(testbed.pm_events(spark, d), f"{run}/source")
+    incremental.ingest_stream(spark, f"{run}/source", f"{run}/raw", f"{run}/_ckpt/ingest", PIPELINE_AS_OF).awaitTermination()
+    incremental.enrich_stream(
+        spark, f"{run}/raw", f"{run}/enriched", f"{run}/_ckpt/enrich",
+        class_dim=testbed.class_dimension(spark, d), as_of=PIPELINE_AS_OF,
+    ).awaitTermination()
+    incremental.gold_stream(spark, f"{run}/enriched", f"{run}/site", f"{run}/_ckpt/gold").awaitTermination()
+    return finish(spark.read.parquet(f"{run}/site").select(*SITE_OUTPUT))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "site_week_kpis": q_site_week_kpis,
     "ceid_week_kpis": q_ceid_week_kpis,
@@ -443,6 +493,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_unscheduled_ceids": q_top_unscheduled_ceids,
     "parts_needing_attention": q_parts_needing_attention,
     "latest_site_kpis": q_latest_site_kpis,
+    "pipeline_site_week": q_pipeline_site_week,
+    "stream_site_week": q_stream_site_week,
 }
 
 # Backwards-compatible name used by the entry point.

@@ -158,6 +158,7 @@ def silver(
     full_refresh: bool = False,
     rules: Rules = DEFAULT_RULES,
     as_of: _dt.datetime | None = None,
+    build_summary: bool = True,
 ) -> dict:
     """Enrich new raw rows, then recompute the summary for touched weeks and the chronic snapshot."""
     t0 = time.perf_counter()
@@ -176,10 +177,12 @@ def silver(
                 "seconds": time.perf_counter() - t0}
 
     all_ev = spark.read.parquet(layout.enriched)
-    batch_weeks = all_ev.filter(F.col("enriched_at") == F.lit(as_of)).select(*WEEK_PARTS).distinct()
-    touched = all_ev.join(broadcast_weeks(batch_weeks), list(WEEK_PARTS), "left_semi")
-    summary = kpis.downtime_summary(touched).withColumn("calculated_at", F.lit(as_of).cast("timestamp"))
-    n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
+    n_sum = 0
+    if build_summary:
+        batch_weeks = all_ev.filter(F.col("enriched_at") == F.lit(as_of)).select(*WEEK_PARTS).distinct()
+        touched = all_ev.join(broadcast_weeks(batch_weeks), list(WEEK_PARTS), "left_semi")
+        summary = kpis.downtime_summary(touched).withColumn("calculated_at", F.lit(as_of).cast("timestamp"))
+        n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
 
     scope = scans.date_range(all_ev, "event_ts", start, end)
     chronic = chr_.with_analysis_period(chr_.chronic_tools(scope, rules), scope).withColumn(
@@ -213,6 +216,7 @@ def gold(
     skip_done: bool = False,
     rules: Rules = DEFAULT_RULES,
     as_of: _dt.datetime | None = None,
+    facts: tuple[str, ...] = ("site", "ceid", "part", "history"),
 ) -> dict:
     """Weekly facts for the weeks in range.
 
@@ -234,15 +238,17 @@ def gold(
     def put(df: DataFrame, path: str, spread: int) -> int:
         return sinks.write_table(df.withColumn("calculated_at", stamp), path, "replace", WEEK_PARTS, cluster=True, spread=spread)
 
-    out = {
-        "site_rows": put(kpis.site_week_kpis(ev, chronic_e), layout.site, 1),
-        "ceid_rows": put(kpis.ceid_week_kpis(ev, chronic_e), layout.ceid, FACT_SPREAD),
-        "part_rows": put(kpis.part_week_summary(ev), layout.part, FACT_SPREAD),
-        "history_rows": put(chr_.chronic_weekly(ev, rules), layout.history, FACT_SPREAD),
+    builders = {
+        "site": lambda: put(kpis.site_week_kpis(ev, chronic_e), layout.site, 1),
+        "ceid": lambda: put(kpis.ceid_week_kpis(ev, chronic_e), layout.ceid, FACT_SPREAD),
+        "part": lambda: put(kpis.part_week_summary(ev), layout.part, FACT_SPREAD),
+        "history": lambda: put(chr_.chronic_weekly(ev, rules), layout.history, FACT_SPREAD),
     }
+    out = {f"{name}_rows": builders[name]() for name in facts}
     # Rolling measures over the (small, aggregated) site fact; rewritten whole.
-    site_all = spark.read.parquet(layout.site)
-    out["rolled_rows"] = sinks.replace_all(rolling.rolling_range(site_all, rules), layout.site_rolled, partition_by=())
+    if "site" in facts:
+        site_all = spark.read.parquet(layout.site)
+        out["rolled_rows"] = sinks.replace_all(rolling.rolling_range(site_all, rules), layout.site_rolled, partition_by=())
     out["status"] = "SUCCESS"
     out["seconds"] = time.perf_counter() - t0
     return out
