@@ -28,8 +28,9 @@ from toolwatch.sources import files, scans
 log = logging.getLogger(__name__)
 
 WEEK_PARTS = ("ww_year", "ww_number")
-# Files per week partition for fine-grained facts (tool/part x week grain).
-FACT_SPREAD = 4
+# Minimum writers per week partition for fine-grained facts (tool/part x week
+# grain); AQE splits larger weeks further through the rebalance hint.
+FACT_SPREAD = 1
 # Columns whose null share is reported after ingest.
 CRITICAL_RAW_COLUMNS = ("ENTITY", "FACILITY", "CEID", "YEARWW", "TXN_DATE", "DOWNTIME_TYPE", "CUSTOM_DELTA", "Median_Delta")
 
