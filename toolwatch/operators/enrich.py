@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from toolwatch.functions import calendar as cal
 from toolwatch.functions import classify as cls
+from toolwatch.functions.literals import ts_lit
 from toolwatch.operators.joins import broadcast_if_small
 from toolwatch.rules import DEFAULT_RULES, Rules
 
@@ -94,7 +95,7 @@ def enrich(events: DataFrame, rules: Rules = DEFAULT_RULES, class_dim: DataFrame
             "downtime_category": cls.downtime_category("downtime_type", "downtime_class"),
             "primary_reason": F.coalesce(F.col("reason_primary"), F.col("reason_detail")),
             "quality_score": quality_hits / F.lit(float(len(rules.quality_columns))) * 100.0,
-            "enriched_at": F.lit(as_of).cast("timestamp") if as_of is not None else F.lit(None).cast("timestamp"),
+            "enriched_at": ts_lit(as_of) if as_of is not None else F.lit(None).cast("timestamp_ntz"),
         }
     )
 

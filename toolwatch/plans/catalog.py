@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType
 
 from toolwatch.functions import calendar as cal
 from toolwatch.functions import coerce
+from toolwatch.functions.literals import ts_lit
 from toolwatch.operators import chronic as chr_
 from toolwatch.operators import dims, kpis, reports, rolling
 from toolwatch.operators.enrich import enrich, with_chronic_status, with_process_class
@@ -342,19 +343,19 @@ def q_coerce_types(spark, d):
 
 def q_incremental_events(spark, d):
     raw = testbed.raw_events(spark, d)
-    processed = raw.filter(F.col("ts") < F.lit(EVENTS_PROCESSED_BEFORE))
+    processed = raw.filter(F.col("ts") < ts_lit(EVENTS_PROCESSED_BEFORE))
     return finish(scans.new_by_id(raw, processed, "event_id", "event_id"))
 
 
 def q_incremental_site_weeks(spark, d):
     ev = enriched_events(spark, d)
-    built = _site(scans.date_range(ev, "event_ts", end=F.lit(SITE_FACT_BUILT_BEFORE)))
+    built = _site(scans.date_range(ev, "event_ts", end=SITE_FACT_BUILT_BEFORE))
     new = scans.new_by_keys(ev, built, ["facility", "work_week"])
     return new.groupBy("facility", "work_week").agg(F.count(F.lit(1)).alias("new_events"))
 
 
 def q_date_range_scan(spark, d):
-    ev = scans.date_range(testbed.pm_events(spark, d), "event_ts", F.lit(RANGE_START), F.lit(RANGE_END))
+    ev = scans.date_range(testbed.pm_events(spark, d), "event_ts", RANGE_START, RANGE_END)
     return finish(ev.select("order_key", "line_number", "entity", "event_ts", "down_hours"))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from toolwatch import sinks
 from toolwatch.functions.agg import count_if
+from toolwatch.functions.literals import ts_lit
 from toolwatch.operators import chronic as chr_
 from toolwatch.operators import dims, kpis, rolling
 from toolwatch.operators.enrich import enrich, project_enriched
@@ -180,14 +181,14 @@ def silver(
     all_ev = spark.read.parquet(layout.enriched)
     n_sum = 0
     if build_summary:
-        batch_weeks = all_ev.filter(F.col("enriched_at") == F.lit(as_of)).select(*WEEK_PARTS).distinct()
+        batch_weeks = all_ev.filter(F.col("enriched_at") == ts_lit(as_of)).select(*WEEK_PARTS).distinct()
         touched = all_ev.join(broadcast_weeks(batch_weeks), list(WEEK_PARTS), "left_semi")
-        summary = kpis.downtime_summary(touched).withColumn("calculated_at", F.lit(as_of).cast("timestamp"))
+        summary = kpis.downtime_summary(touched).withColumn("calculated_at", ts_lit(as_of))
         n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
 
     scope = scans.date_range(all_ev, "event_ts", start, end)
     chronic = chr_.with_analysis_period(chr_.chronic_tools(scope, rules), scope).withColumn(
-        "calculation_ts", F.lit(as_of).cast("timestamp")
+        "calculation_ts", ts_lit(as_of)
     )
     n_chr = sinks.write_table(chronic, layout.chronic, "append", partition_by=())
 
@@ -232,10 +233,10 @@ def gold(
     if skip_done and sinks.table_exists(spark, layout.site):
         ev = scans.new_by_keys(ev, spark.read.parquet(layout.site), ["facility", "work_week"])
     elif since is not None:
-        weeks = ev.filter(F.col("enriched_at") >= F.lit(since)).select(*WEEK_PARTS).distinct()
+        weeks = ev.filter(F.col("enriched_at") >= ts_lit(since)).select(*WEEK_PARTS).distinct()
         ev = ev.join(broadcast_weeks(weeks), list(WEEK_PARTS), "left_semi")
     chronic_e = latest_chronic_entities(spark, layout)
-    stamp = F.lit(as_of).cast("timestamp")
+    stamp = ts_lit(as_of)
     def put(df: DataFrame, path: str, spread: int) -> int:
         return sinks.write_table(df.withColumn("calculated_at", stamp), path, "replace", WEEK_PARTS, cluster=True, spread=spread)
 
