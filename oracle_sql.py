@@ -367,7 +367,19 @@ SELECT * REPLACE (CAST(0 AS BIGINT) AS chronic_tools_count, 0.0 AS chronic_tools
     )
     q["ceid_week_kpis"] = rounded(f"WITH {EV},{CEID_FACT} SELECT * FROM ceidf", CEID_DOUBLES)
     q["part_week_summary"] = rounded(f"WITH {EV},{PART} SELECT * FROM partf", PART_DOUBLES)
-    q["downtime_summary"] = rounded(f"WITH {EV},{DOWNTIME} SELECT * FROM dsum", DOWNTIME_DOUBLES)
+    q["downtime_summary"] = rounded(
+        f"""WITH {EV},{DOWNTIME},{TOOLS},
+dct AS (
+  SELECT t.facility, t.ceid, t.ww_year, t.ww_number, t.work_week, t.process_class,
+         {CNT("s.chronic_flag = 1")} AS chronic_tools_count, avg(s.chronic_score) AS avg_chronic_score
+  FROM (SELECT DISTINCT {SUM_KEYS}, entity FROM ev WHERE {NN(SUM_KEYS)} AND entity IS NOT NULL) t
+       LEFT JOIN scored s ON t.entity = s.entity AND t.facility = s.facility AND t.ceid = s.ceid
+  GROUP BY t.facility, t.ceid, t.ww_year, t.ww_number, t.work_week, t.process_class
+)
+SELECT dsum.*, COALESCE(dct.chronic_tools_count, 0) AS chronic_tools_count, dct.avg_chronic_score
+FROM dsum LEFT JOIN dct USING ({SUM_KEYS})""",
+        (*DOWNTIME_DOUBLES, "avg_chronic_score"),
+    )
     q["cost_summary"] = rounded(
         f"""WITH {EV},{PART_COSTS}
 SELECT facility, ceid, ww_year, ww_number, work_week, sum(part_cost) AS total_part_cost, avg(part_cost) AS avg_part_cost,

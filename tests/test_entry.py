@@ -19,3 +19,16 @@ def test_queries_resolve(spark):
     for name, fn in E.queries().items():
         df = fn(spark, SF_SMALL)
         assert df.columns, name
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    """Cut-offs are wall-clock literals: the same rows under any session zone."""
+    q = E.queries()["incremental_events"]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    utc = sorted(r.event_id for r in q(spark, SF_SMALL).select("event_id").collect())
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        la = sorted(r.event_id for r in q(spark, SF_SMALL).select("event_id").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == la and utc

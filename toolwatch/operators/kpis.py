@@ -169,8 +169,31 @@ def part_week_summary(enriched: DataFrame) -> DataFrame:
     )
 
 
-def downtime_summary(enriched: DataFrame) -> DataFrame:
-    """Facility x ceid x work-week x class downtime summary."""
+def chronic_by_group(enriched: DataFrame, keys, chronic: DataFrame) -> DataFrame:
+    """Per group: tools flagged chronic and their mean chronic score.
+
+    Distinct (keys, entity) tuples are joined to the chronic rows of the same
+    tool (entity, facility, ceid); both sides are deduplicated, so the join is
+    one row per tool and group.
+    """
+    tuples = _not_null(enriched, (*keys, "entity")).select(*keys, "entity").distinct()
+    tools = chronic.select("entity", "facility", "ceid", "chronic_flag", "chronic_score")
+    return (
+        tuples.join(tools, ["entity", "facility", "ceid"], "left")
+        .groupBy(*keys)
+        .agg(
+            _count_if(F.col("chronic_flag") == 1).alias("chronic_tools_count"),
+            F.avg("chronic_score").alias("avg_chronic_score"),
+        )
+    )
+
+
+def downtime_summary(enriched: DataFrame, chronic: DataFrame | None = None) -> DataFrame:
+    """Facility x ceid x work-week x class downtime summary.
+
+    With a chronic snapshot, also the number of chronic tools and their mean
+    score per group (tool grain: entity, facility, ceid).
+    """
     ev = _not_null(enriched, SUMMARY_KEYS)
     base = ev.groupBy(*SUMMARY_KEYS).agg(
         F.count(F.lit(1)).alias("total_pm_events"),
@@ -185,7 +208,7 @@ def downtime_summary(enriched: DataFrame) -> DataFrame:
     )
     n = F.col("total_pm_events")
     sched_hours = F.coalesce(F.col("total_downtime_hours") * F.try_divide(F.col("scheduled_pm_count"), n), F.lit(0.0))
-    return base.withColumns(
+    out = base.withColumns(
         {
             "unscheduled_pm_rate": cls.safe_rate("unscheduled_pm_count", n),
             "early_pm_rate": cls.safe_rate("early_pm_count", n),
@@ -196,6 +219,11 @@ def downtime_summary(enriched: DataFrame) -> DataFrame:
             "record_count": n,
         }
     )
+    if chronic is None:
+        return out
+    return out.join(chronic_by_group(ev, SUMMARY_KEYS, chronic), list(SUMMARY_KEYS), "left").withColumn(
+        "chronic_tools_count", F.coalesce(F.col("chronic_tools_count"), F.lit(0)).cast("long")
+    )
 
 
 def cost_summary(enriched: DataFrame, part_costs: DataFrame) -> DataFrame:

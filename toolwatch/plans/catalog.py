@@ -83,7 +83,8 @@ def q_part_week_summary(spark, d):
 
 
 def q_downtime_summary(spark, d):
-    return finish(kpis.downtime_summary(enriched_events(spark, d)))
+    ev = enriched_events(spark, d)
+    return finish(kpis.downtime_summary(ev, _chronic(ev)))
 
 
 def q_cost_summary(spark, d):

@@ -179,19 +179,18 @@ def silver(
                 "seconds": time.perf_counter() - t0}
 
     all_ev = spark.read.parquet(layout.enriched)
+    scope = scans.date_range(all_ev, "event_ts", start, end)
+    chronic = chr_.with_analysis_period(chr_.chronic_tools(scope, rules), scope).withColumn("calculation_ts", ts_lit(as_of))
+    n_chr = sinks.write_table(chronic, layout.chronic, "append", partition_by=())
+
     n_sum = 0
     if build_summary:
+        snapshot = spark.read.parquet(layout.chronic).filter(F.col("calculation_ts") == ts_lit(as_of))
         batch_weeks = all_ev.filter(F.col("enriched_at") == ts_lit(as_of)).select(*WEEK_PARTS).distinct()
         touched = all_ev.join(broadcast_weeks(batch_weeks), list(WEEK_PARTS), "left_semi")
-        summary = kpis.downtime_summary(touched).withColumn("calculated_at", ts_lit(as_of))
+        summary = kpis.downtime_summary(touched, snapshot).withColumn("calculated_at", ts_lit(as_of))
         n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
 
-    scope = scans.date_range(all_ev, "event_ts", start, end)
-    chronic = chr_.with_analysis_period(chr_.chronic_tools(scope, rules), scope).withColumn(
-        "calculation_ts", ts_lit(as_of)
-    )
-    n_chr = sinks.write_table(chronic, layout.chronic, "append", partition_by=())
-
     if not sinks.table_exists(spark, layout.date_dim):
         y = as_of.year
         sinks.write_table(dims.date_dimension(spark, y - 2, 5), layout.date_dim, "fail", partition_by=("fiscal_year",))
