@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from toolwatch.functions import classify as cls
 from toolwatch.functions.agg import count_if as _count_if
-from toolwatch.functions.agg import exact_avg, exact_sum, exact_sum0
+from toolwatch.functions.agg import exact_avg, exact_sum0
 from toolwatch.operators.chronic import _not_null
 
 WEEK_KEYS = ("ww_year", "ww_number", "work_week")
