@@ -44,12 +44,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared (HDFS/object-store) folder there; we only invent one
     when the setting is absent, which happens in local tests.
     """
-    sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        sc = None
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None) or d
+        if not d and sc.getCheckpointDir():
+            return sc.getCheckpointDir()
     if not d:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
         d = tempfile.mkdtemp(prefix="toolwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
+    else:
+        spark.conf.set("spark.checkpoint.dir", d)
     return d
