@@ -37,7 +37,12 @@ def main() -> None:
     from toolwatch.session import get_spark
     from toolwatch.sources import files, testbed
 
-    spark = get_spark("toolwatch-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = get_spark(
+        "toolwatch-bench",
+        master=f"local[{cpus}]",
+        shuffle_partitions=int(cpus) * 2,
+        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY"),
+    )
     scratch = tempfile.mkdtemp(prefix="toolwatch-bench-")
     src = os.path.join(scratch, "source")
     layout = jobs.Layout(os.path.join(scratch, "warehouse"))

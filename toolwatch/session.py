@@ -8,7 +8,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def get_spark(app: str = "toolwatch", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def get_spark(
+    app: str = "toolwatch", master: str | None = None, shuffle_partitions: int | None = None, driver_memory: str | None = None
+) -> SparkSession:
     """Build (or reuse) a session with the settings every job here assumes.
 
     On a cluster the master and most sizing come from spark-submit; the values
@@ -33,6 +35,9 @@ def get_spark(app: str = "toolwatch", master: str | None = None, shuffle_partiti
     )
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        # Local mode runs every task inside the driver JVM: its heap is the executors' memory.
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
