@@ -111,6 +111,9 @@ def test_full_pipeline_and_incremental_gold_modes(spark, rendered, tmpdir_path):
     # A bronze failure (no file for this week) is tolerated because later layers still run.
     res = jobs.full_pipeline(spark, root, layout, work_week="1990WW01", class_dim=dim, as_of=AS_OF + dt.timedelta(days=1))
     assert res["bronze"]["status"] == "FAILED" and res["silver"]["status"] == "NO_DATA" and res["gold"]["status"] == "SUCCESS"
+    layers = [(r.layer, r.source_file, r.load_status) for r in spark.read.parquet(layout.load_log).collect()]
+    assert ("SILVER", "ENRICHMENT", "FAILED") in layers and ("GOLD", "KPI_FACTS", "FAILED") in layers
+    assert ("GOLD", "ROLLING_AVERAGES", "SUCCESS") in layers and ("SILVER", "ENRICHMENT", "NO_DATA") in layers
 
     # Second week arrives; a late event for the first week is appended to the enriched table too.
     later = AS_OF + dt.timedelta(days=7)

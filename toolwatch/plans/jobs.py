@@ -274,9 +274,18 @@ def full_pipeline(
 
     A bronze failure is tolerated when a later layer still runs (it works on
     what is already loaded); a silver failure is tolerated when gold runs.
+    Silver and gold append one load-log row each (status, rows, seconds); the
+    rolling refresh inside gold is logged under its own source name.
     """
     as_of = as_of or _dt.datetime.now()
     res: dict = {}
+
+    def _log(layer: str, source: str, stats: dict) -> None:
+        rows = stats.get("rows_enriched", stats.get("site_rows", stats.get("rolled_rows", 0))) or 0
+        sinks.append_load_log(spark, layout.load_log, source_file=source, source_week=None, rows_loaded=rows,
+                              status=stats.get("status", "FAILED"), error=stats.get("error"),
+                              seconds=stats.get("seconds", 0.0) or 0.0, layer=layer, at=as_of)
+
     if not skip_bronze:
         try:
             res["bronze"] = bronze(spark, source_root, layout, work_week, class_dim=class_dim, as_of=as_of)
@@ -289,8 +298,17 @@ def full_pipeline(
             res["silver"] = silver(spark, layout, rules=rules, as_of=as_of)
         except Exception as e:  # noqa: BLE001
             res["silver"] = {"status": "FAILED", "error": str(e)}
+            _log("SILVER", "ENRICHMENT", res["silver"])
             if skip_gold:
                 raise
+        else:
+            _log("SILVER", "ENRICHMENT", res["silver"])
     if not skip_gold:
-        res["gold"] = gold(spark, layout, since=as_of if not skip_silver else None, rules=rules, as_of=as_of)
+        try:
+            res["gold"] = gold(spark, layout, since=as_of if not skip_silver else None, rules=rules, as_of=as_of)
+        except Exception as e:
+            _log("GOLD", "KPI_FACTS", {"status": "FAILED", "error": str(e)})
+            raise
+        _log("GOLD", "KPI_FACTS", res["gold"])
+        _log("GOLD", "ROLLING_AVERAGES", {"status": "SUCCESS", "rolled_rows": res["gold"].get("rolled_rows", 0)})
     return res
