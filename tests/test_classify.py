@@ -111,3 +111,13 @@ def test_rules_validation():
         Rules(weight_cv=0.5)
     with pytest.raises(ValueError):
         Rules(late_threshold=40)
+    with pytest.raises(ValueError):
+        Rules(severity_critical=120)
+    with pytest.raises(ValueError):
+        Rules(unscheduled_rate_threshold=1.5)
+    with pytest.raises(ValueError):
+        Rules(retention_weeks_raw=0)
+    assert Rules().warnings() == []
+    assert any("min_pm_events" in w for w in Rules(min_pm_events=2).warnings())
+    # the shipped defaults are valid (the original validator rejected its own -15 < -15 defaults)
+    Rules(early_threshold=-15, on_time_min=-15)

@@ -66,6 +66,8 @@ class Rules:
     )
 
     def __post_init__(self) -> None:
+        """Reject rule sets that cannot be applied (the original validator's error checks)."""
+        errors = []
         if not (
             self.early_threshold
             <= self.on_time_min
@@ -73,7 +75,13 @@ class Rules:
             <= self.late_threshold
             < self.overdue_threshold
         ):
-            raise ValueError("timing thresholds must satisfy early <= min <= max <= late < overdue")
+            errors.append("timing thresholds must satisfy early <= min <= max <= late < overdue")
+        if not 0 <= self.unscheduled_rate_threshold <= 1:
+            errors.append("unscheduled rate threshold must be in [0, 1]")
+        if not 0 < self.life_cv_threshold <= 2:
+            errors.append("life CV threshold must be in (0, 2] (it also normalises the score)")
+        if self.min_pm_events < 1:
+            errors.append("min_pm_events must be >= 1")
         weights = (
             self.weight_unscheduled,
             self.weight_cv,
@@ -81,14 +89,37 @@ class Rules:
             self.weight_reclean,
             self.weight_sympathy,
         )
-        if any(w < 0 for w in weights) or abs(sum(weights) - 1.0) > 1e-9:
-            raise ValueError("chronic score weights must be non-negative and sum to 1")
-        if not (0 < self.unscheduled_rate_threshold <= 1 and self.life_cv_threshold > 0):
-            raise ValueError("chronic thresholds out of range")
-        if self.min_pm_events < 1 or self.rolling_window_weeks < 1:
-            raise ValueError("counts must be positive")
-        if not (self.severity_low <= self.severity_medium <= self.severity_high <= self.severity_critical):
-            raise ValueError("severity thresholds must be ascending")
+        if any(w < 0 for w in weights) or abs(sum(weights) - 1.0) > 0.01:
+            errors.append("chronic score weights must be non-negative and sum to 1 (+-0.01)")
+        if not (0 < self.severity_low < self.severity_medium < self.severity_high < self.severity_critical <= 100):
+            errors.append("severity thresholds must satisfy 0 < low < medium < high < critical <= 100")
+        if min(self.retention_weeks_raw, self.retention_weeks_enriched, self.retention_weeks_facts) < 1:
+            errors.append("retention weeks must be >= 1")
+        if not 0 <= self.null_pct_warning <= 100:
+            errors.append("null percentage threshold must be in [0, 100]")
+        if not 0 <= self.rowcount_tolerance <= 1:
+            errors.append("row-count tolerance must be in [0, 1]")
+        if self.rolling_window_weeks < 1 or self.downtime_hours_scale <= 0:
+            errors.append("rolling window must be >= 1 week and the downtime scale positive")
+        if errors:
+            raise ValueError("; ".join(errors))
+
+    def warnings(self) -> list[str]:
+        """Settings that are valid but unusual (the original validator's warnings)."""
+        out = []
+        if self.early_threshold != self.on_time_min:
+            out.append("gap between early threshold and on-time minimum (values in it count as On-Time)")
+        if self.on_time_max != self.late_threshold:
+            out.append("gap between on-time maximum and late threshold (values in it count as On-Time)")
+        if self.unscheduled_rate_threshold > 0.5 or self.unscheduled_rate_threshold < 0.2:
+            out.append("unscheduled rate threshold outside the usual 0.2-0.5")
+        if self.life_cv_threshold > 1 or self.life_cv_threshold < 0.2:
+            out.append("life CV threshold outside the usual 0.2-1")
+        if self.min_pm_events < 3 or self.min_pm_events > 20:
+            out.append("min_pm_events outside the usual 3-20")
+        if not (self.retention_weeks_raw <= self.retention_weeks_enriched <= self.retention_weeks_facts):
+            out.append("retention usually grows from raw to enriched to facts")
+        return out
 
     def with_(self, **changes) -> "Rules":
         return replace(self, **changes)
