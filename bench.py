@@ -81,6 +81,8 @@ def main() -> None:
         "rows": {"raw": b["rows_loaded"], "enriched": s["rows_enriched"], "site_fact": g["site_rows"],
                  "ceid_fact": g["ceid_rows"], "part_fact": g["part_rows"], "chronic": s["chronic_rows"]},
         "files": len(paths),
+        "pipeline_sec": round(times["bronze"] + times["silver"] + times["gold"], 3),
+        "pipeline_events_per_sec": round(b["rows_loaded"] / max(times["bronze"] + times["silver"] + times["gold"], 1e-9), 1),
         "setup_render_sec": round(render_s, 3),
     }
     spark.stop()
