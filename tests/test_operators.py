@@ -121,3 +121,17 @@ def test_sinks_modes_and_retention(spark, tmpdir_path):
     ts.write.parquet(f"{tmpdir_path}/r")
     res = sinks.retention_rewrite(spark, f"{tmpdir_path}/r", "ts", dt.datetime(2024, 6, 2), 10, f"{tmpdir_path}/r2")
     assert (res["kept"], res["deleted"]) == (1, 1)
+
+
+def test_weeks_filter_prunes_partitions(spark, tmpdir_path):
+    df = spark.createDataFrame([(2024, w, w) for w in range(1, 11)] + [(2025, 1, 99)], "ww_year int, ww_number int, v int")
+    df.write.partitionBy("ww_year", "ww_number").parquet(f"{tmpdir_path}/t")
+    t = spark.read.parquet(f"{tmpdir_path}/t")
+    got = scans.weeks_filter(t, [(2024, 3), (2024, 5), (2025, 1)])
+    assert sorted(r.v for r in got.collect()) == [3, 5, 99]
+    import contextlib, io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain()
+    assert "PartitionFilters: [" in buf.getvalue() and "ww_number" in buf.getvalue().split("PartitionFilters")[1][:300]
+    assert scans.weeks_filter(t, []).count() == 0

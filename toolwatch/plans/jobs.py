@@ -170,13 +170,19 @@ def silver(
     if incremental and not full_refresh and sinks.table_exists(spark, layout.enriched):
         raw = scans.new_by_id(raw, spark.read.parquet(layout.enriched), "pm_raw_id", "pm_raw_id")
     enriched = project_enriched(enrich(raw, rules, None, as_of), extra=("pm_raw_id",))
+    # The weeks this batch touches, measured by the write itself (bounded by the calendar).
+    week_obs = Observation("touched_weeks")
+    enriched = enriched.observe(week_obs, F.collect_set(F.struct(*WEEK_PARTS)).alias("weeks"))
     if full_refresh:
         n = sinks.replace_all(enriched, layout.enriched, partition_by=WEEK_PARTS)
     else:
         n = sinks.write_table(enriched, layout.enriched, "append", partition_by=WEEK_PARTS)
     if n == 0:
-        return {"status": "NO_DATA", "rows_enriched": 0, "summary_rows": 0, "chronic_rows": 0,
+        return {"status": "NO_DATA", "rows_enriched": 0, "summary_rows": 0, "chronic_rows": 0, "weeks": [],
                 "seconds": time.perf_counter() - t0}
+    weeks = sorted(
+        (int(r[0]), int(r[1])) for r in (week_obs.get.get("weeks") or []) if r[0] is not None and r[1] is not None
+    )
 
     all_ev = spark.read.parquet(layout.enriched)
     scope = scans.date_range(all_ev, "event_ts", start, end)
@@ -186,8 +192,7 @@ def silver(
     n_sum = 0
     if build_summary:
         snapshot = spark.read.parquet(layout.chronic).filter(F.col("calculation_ts") == ts_lit(as_of))
-        batch_weeks = all_ev.filter(F.col("enriched_at") == ts_lit(as_of)).select(*WEEK_PARTS).distinct()
-        touched = all_ev.join(broadcast_weeks(batch_weeks), list(WEEK_PARTS), "left_semi")
+        touched = scans.weeks_filter(all_ev, weeks)
         summary = kpis.downtime_summary(touched, snapshot).withColumn("calculated_at", ts_lit(as_of))
         n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
 
@@ -195,7 +200,7 @@ def silver(
         y = as_of.year
         sinks.write_table(dims.date_dimension(spark, y - 2, 5), layout.date_dim, "fail", partition_by=("fiscal_year",))
     return {"status": "SUCCESS", "rows_enriched": n, "summary_rows": n_sum, "chronic_rows": n_chr,
-            "seconds": time.perf_counter() - t0}
+            "weeks": weeks, "seconds": time.perf_counter() - t0}
 
 
 # ---------------------------------------------------------------- gold
@@ -218,6 +223,7 @@ def gold(
     rules: Rules = DEFAULT_RULES,
     as_of: _dt.datetime | None = None,
     facts: tuple[str, ...] = ("site", "ceid", "part", "history"),
+    weeks: list[tuple[int, int]] | None = None,
 ) -> dict:
     """Weekly facts for the weeks in range.
 
@@ -225,12 +231,16 @@ def gold(
     (late events are included: the whole week is recomputed from all its rows).
     ``skip_done``: the original behaviour, drop facility-weeks already in the
     site fact (late events for those weeks are then ignored).
+    ``weeks``: recompute exactly these (year, week) pairs, e.g. the ``weeks``
+    reported by ``silver``; the scan is then pruned to those partitions.
     """
     t0 = time.perf_counter()
     as_of = as_of or _dt.datetime.now()
     ev = scans.week_range(spark.read.parquet(layout.enriched), start_ww, end_ww)
     if skip_done and sinks.table_exists(spark, layout.site):
         ev = scans.new_by_keys(ev, spark.read.parquet(layout.site), ["facility", "work_week"])
+    elif weeks is not None:
+        ev = scans.weeks_filter(ev, weeks)
     elif since is not None:
         weeks = ev.filter(F.col("enriched_at") >= ts_lit(since)).select(*WEEK_PARTS).distinct()
         ev = ev.join(broadcast_weeks(weeks), list(WEEK_PARTS), "left_semi")
@@ -305,7 +315,11 @@ def full_pipeline(
             _log("SILVER", "ENRICHMENT", res["silver"])
     if not skip_gold:
         try:
-            res["gold"] = gold(spark, layout, since=as_of if not skip_silver else None, rules=rules, as_of=as_of)
+            silver_weeks = res.get("silver", {}).get("weeks")
+            res["gold"] = gold(
+                spark, layout, since=as_of if not skip_silver and silver_weeks is None else None,
+                weeks=silver_weeks, rules=rules, as_of=as_of,
+            )
         except Exception as e:
             _log("GOLD", "KPI_FACTS", {"status": "FAILED", "error": str(e)})
             raise
