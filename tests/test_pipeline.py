@@ -154,3 +154,21 @@ def test_file_stream_uses_batch_ingest_and_skips_replayed_files(spark, tmpdir_pa
     # Same files, new checkpoint (as after a lost checkpoint): nothing is appended twice.
     incremental.ingest_files_stream(spark, src, layout, os.path.join(tmpdir_path, "ck2"), AS_OF).awaitTermination()
     assert spark.read.parquet(layout.raw).count() == 2
+
+
+def test_pipeline_watermark_processes_only_new_loads(spark, rendered, tmpdir_path):
+    root, ev = rendered
+    layout = jobs.Layout(tmpdir_path)
+    dim = testbed.class_dimension(spark, SF_SMALL)
+    t1, t2 = AS_OF, AS_OF + dt.timedelta(days=7)
+    r1 = jobs.full_pipeline(spark, root, layout, work_week=WEEKS[0], class_dim=dim, as_of=t1)
+    r2 = jobs.full_pipeline(spark, root, layout, work_week=WEEKS[1], class_dim=dim, as_of=t2)
+    n0 = ev.filter(F.col("work_week") == WEEKS[0]).count()
+    n1 = ev.filter(F.col("work_week") == WEEKS[1]).count()
+    assert r1["silver"]["rows_enriched"] == n0 and r2["silver"]["rows_enriched"] == n1
+    y, w = (int(x) for x in WEEKS[1].split("WW"))
+    assert r2["silver"]["weeks"] == [(y, w)]
+    assert spark.read.parquet(layout.enriched).count() == n0 + n1
+    assert jobs.last_success(spark, layout, "SILVER") == t2
+    weeks = {r.work_week for r in spark.read.parquet(layout.site).select("work_week").distinct().collect()}
+    assert weeks == {WEEKS[0], WEEKS[1]}
