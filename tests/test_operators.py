@@ -135,3 +135,17 @@ def test_weeks_filter_prunes_partitions(spark, tmpdir_path):
         got.explain()
     assert "PartitionFilters: [" in buf.getvalue() and "ww_number" in buf.getvalue().split("PartitionFilters")[1][:300]
     assert scans.weeks_filter(t, []).count() == 0
+
+
+def test_partition_drop_retention(spark, tmpdir_path):
+    weekly = spark.createDataFrame([(y, w, 1) for y in (2023, 2024) for w in (1, 20, 40)], "ww_year int, ww_number int, v int")
+    weekly.write.partitionBy("ww_year", "ww_number").parquet(f"{tmpdir_path}/facts")
+    raw = spark.createDataFrame([("2024WW01", 1), ("2024WW30", 2), ("2023WW52", 3)], "source_week string, v int")
+    raw.write.partitionBy("source_week").parquet(f"{tmpdir_path}/raw")
+    # whole expired years go as one directory: ww_year=2023 and ww_year=2024/ww_number=1
+    assert len(sinks.drop_partitions_before(spark, f"{tmpdir_path}/facts", 2024, 20, dry_run=True)) == 2
+    sinks.drop_partitions_before(spark, f"{tmpdir_path}/facts", 2024, 20)
+    left = sorted((r.ww_year, r.ww_number) for r in spark.read.parquet(f"{tmpdir_path}/facts").collect())
+    assert left == [(2024, 20), (2024, 40)]
+    sinks.drop_partitions_before(spark, f"{tmpdir_path}/raw", 2024, 2)
+    assert sorted(r.source_week for r in spark.read.parquet(f"{tmpdir_path}/raw").collect()) == ["2024WW30"]

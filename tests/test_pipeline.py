@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from toolwatch.operators import chronic as chr_
 from toolwatch.operators import kpis
 from toolwatch.operators.enrich import enrich
+from toolwatch.rules import Rules
 from toolwatch.plans import jobs
 from toolwatch.sources import testbed
 from toolwatch.streaming import incremental
@@ -172,3 +173,20 @@ def test_pipeline_watermark_processes_only_new_loads(spark, rendered, tmpdir_pat
     assert jobs.last_success(spark, layout, "SILVER") == t2
     weeks = {r.work_week for r in spark.read.parquet(layout.site).select("work_week").distinct().collect()}
     assert weeks == {WEEKS[0], WEEKS[1]}
+
+
+def test_apply_retention_drops_old_weeks(spark, rendered, tmpdir_path):
+    root, ev = rendered
+    layout = jobs.Layout(tmpdir_path)
+    dim = testbed.class_dimension(spark, SF_SMALL)
+    for ww in WEEKS:
+        jobs.bronze(spark, root, layout, work_week=ww, class_dim=dim, as_of=AS_OF)
+    jobs.silver(spark, layout, as_of=AS_OF)
+    # as_of such that only the last week is inside a 1-week retention on every layer
+    r = Rules(retention_weeks_raw=1, retention_weeks_enriched=1, retention_weeks_facts=1)
+    start_last, _ = __import__("toolwatch.functions.calendar", fromlist=["x"]).week_range_of(WEEKS[-1])
+    out = jobs.apply_retention(spark, layout, r, as_of=dt.datetime.combine(start_last + dt.timedelta(days=7), dt.time()))
+    assert out["enriched"]["cutoff_week"] == WEEKS[-1]
+    left = {r.work_week for r in spark.read.parquet(layout.enriched).select("work_week").distinct().collect()}
+    assert left == {WEEKS[-1]}
+    assert {r.source_week for r in spark.read.parquet(layout.raw).select("source_week").distinct().collect()} == {WEEKS[-1]}

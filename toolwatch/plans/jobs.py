@@ -283,6 +283,31 @@ def gold(
 # ---------------------------------------------------------------- pipeline
 
 
+def apply_retention(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_RULES,
+                    as_of: _dt.datetime | None = None, dry_run: bool = False) -> dict:
+    """Drop week partitions past each layer's retention (raw / enriched / facts), and log it.
+
+    The cut-off is the fiscal week containing ``as_of - retention weeks``; whole
+    weeks older than it are dropped as partitions, never rewritten.
+    """
+    as_of = as_of or _dt.datetime.now()
+    out = {}
+    plan = {
+        "raw": (rules.retention_weeks_raw, [layout.raw]),
+        "enriched": (rules.retention_weeks_enriched, [layout.enriched, layout.summary]),
+        "facts": (rules.retention_weeks_facts, [layout.site, layout.ceid, layout.part, layout.history]),
+    }
+    for layer, (weeks, paths) in plan.items():
+        y, w = cal.parse_week_label(cal.work_week_of(as_of - _dt.timedelta(weeks=weeks)))
+        dropped = [d for p in paths for d in sinks.drop_partitions_before(spark, p, y, w, dry_run)]
+        out[layer] = {"cutoff_week": f"{y}WW{w:02d}", "dropped_partitions": len(dropped)}
+        if not dry_run:
+            sinks.append_load_log(spark, layout.load_log, source_file="RETENTION", source_week=f"{y}WW{w:02d}",
+                                  rows_loaded=len(dropped), status="SUCCESS", error=None, seconds=0.0,
+                                  layer=layer.upper(), at=as_of)
+    return out
+
+
 def last_success(spark: SparkSession, layout: Layout, layer: str) -> _dt.datetime | None:
     """Time of the last successful run of a layer, from the load log (the incremental watermark).
 
