@@ -1,7 +1,7 @@
 """Registered queries: each is ``(spark, sf_dir) -> DataFrame`` over the whole tables.
 
 The builders only assemble library operators; the oracle for each key lives in
-``oracle_sql.py`` at the repository root.  Output doubles are rounded half-even
+``oracle_sql.py`` at the repository root.  Output doubles are quantised
 to 6 places (see ``finish``) so the value hash does not depend on summation order.
 """
 
