@@ -71,7 +71,10 @@ def test_batch_pipeline_matches_direct(spark, rendered, tmpdir_path):
 
 
 def test_stream_matches_batch_and_folds_late_events(spark, rendered, tmpdir_path):
-    root, ev = rendered
+    _, ev = rendered
+    # Own copy of the source: this test adds a late file, which must not leak into other tests.
+    root = os.path.join(tmpdir_path, "source")
+    testbed.render_weekly_files(ev, root)
     raw, enr, site = (os.path.join(tmpdir_path, n) for n in ("raw", "enriched", "site"))
     ck = os.path.join(tmpdir_path, "_ckpt")
     dim = testbed.class_dimension(spark, SF_SMALL)
