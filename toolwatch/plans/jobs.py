@@ -109,6 +109,7 @@ def ingest_files(
     validate: bool = True,
     rules: Rules = DEFAULT_RULES,
     null_action: str = "warn",
+    encoding: str | None = None,
 ) -> dict:
     """Read, validate, type, tag and append weekly files in one distributed job.
 
@@ -120,7 +121,7 @@ def ingest_files(
     its file's folder.
     """
     as_of = as_of or _dt.datetime.now()
-    raw = files.read_event_csv(spark, paths)
+    raw = files.read_event_csv(spark, paths, encoding)
     if validate:
         files.validate_columns(raw)  # names as delivered, before renaming
     raw = files.rename_special(raw)
