@@ -13,8 +13,10 @@ from toolwatch.llm.common import new_folder
 from toolwatch.llm.line_dedup import line_dedup
 from toolwatch.llm.packing import pack
 from toolwatch.llm.planes import read_planes, write_planes
+from toolwatch.llm.quality_rules import quality_rules
 from toolwatch.llm.sharding import kd_shards
 from toolwatch.llm.token_counts import token_counts
+from toolwatch.llm.toxicity import score_severity, train_severity
 
 N_SHARDS = 24
 SHARD_DIMS = ["source", "lang", "n_chars", "doc_id"]
@@ -31,6 +33,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_severity(docs, table(spark, sf_dir, "labels"))
+    return score_severity(docs, model, carry=["doc_id"])
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), new_folder(spark, "flat-tokens"), public_tokenizers.path("word_bpe_49k.json"), FLAT_END_ID)
 
@@ -40,6 +48,11 @@ def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_fail_rate")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
@@ -74,6 +87,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op3_token_counts, op4_kd_shards, op6_line_dedup, op8_planes, op10_packing)
+    f.__name__: f
+    for f in (op1_bpe, op2_toxicity, op3_token_counts, op4_kd_shards, op5_quality_rules, op6_line_dedup, op8_planes, op10_packing)
 }
 ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL}
