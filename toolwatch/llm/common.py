@@ -66,6 +66,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Ids up to which ``by_ids`` broadcasts them: 8 MB of numbers, some 40 MB as a hash table.
+BROADCAST_IDS = 1_000_000
+
+
+def by_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of ``rows`` with one column of distinct numbers that has the same name in both.
+
+    The ids are written and counted; few enough are broadcast, so that the texts stay
+    where they are, and any more meet the rows in a shuffle.
+    """
+    (name,) = ids.columns
+    ids = written(ids, "ids")
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, name, how).select(rows.columns)
+
+
 def with_rank(df: DataFrame, keys: list[str], order: list[Column], bucket: Column, out: str, first: int = 0) -> DataFrame:
     """Gapless ``out`` = 0, 1, ... within each key, ordered by (bucket, order), without one task per key.
 

@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from toolwatch.llm.ann import nearest_neighbours
 from toolwatch.llm.bpe import bpe_round_trip
 from toolwatch.llm.common import new_folder
 from toolwatch.llm.line_dedup import line_dedup
+from toolwatch.llm.near_dups import near_duplicates
 from toolwatch.llm.packing import pack
 from toolwatch.llm.planes import read_planes, write_planes
 from toolwatch.llm.quality_rules import quality_rules
@@ -77,17 +79,25 @@ GROUP BY doc_id
 """
 
 
+def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
 def op8_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_planes(table(spark, sf_dir, "documents"), new_folder(spark, "planes"), public_tokenizers.path("byte_bpe_50k.json"), PLANES_END_ID)
     return read_planes(manifest)
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), PACK_END_ID)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_bpe, op2_toxicity, op3_token_counts, op4_kd_shards, op5_quality_rules, op6_line_dedup, op8_planes, op10_packing)
+    for f in (op1_bpe, op2_toxicity, op3_token_counts, op4_kd_shards, op5_quality_rules, op6_line_dedup, op7_near_dups, op8_planes, op9_nearest, op10_packing)
 }
 ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL}
