@@ -111,11 +111,12 @@ def _clip(x: str) -> str:
     return f"CASE WHEN ({x}) IS NOT NULL THEN least(greatest(({x}), 0.0), 100.0) END"
 
 
-def _tool_scored(keys: str, src: str = "ev", name: str = "scored") -> str:
-    """Chronic metrics + score/flag/severity at the grain ``keys`` (CTE named ``name``)."""
+def _tool_scored(keys: str, src: str = "ev", name: str = "scored", min_events: int = 5) -> str:
+    """Chronic metrics + score/flag/severity at the grain ``keys`` (CTE named ``name``); the class is that of the last event."""
     return f"""
 {name}_m AS (
   SELECT {keys},
+         arg_max(process_class, {{'t': event_ts, 'c': process_class}}) AS process_class,
          count(*) AS total_pm_events,
          CAST(sum(CASE WHEN scheduled_flag = 0 THEN 1 ELSE 0 END) AS BIGINT) AS unscheduled_pm_count,
          COALESCE(CAST(sum(CAST(down_hours AS DECIMAL(38,9))) AS DOUBLE), 0.0) AS total_downtime_hours,
@@ -140,7 +141,7 @@ def _tool_scored(keys: str, src: str = "ev", name: str = "scored") -> str:
            + ({_clip('avg_downtime_hours_per_pm / 10.0 * 100.0')}) * 0.2
            + reclean_rate * 100.0 * 0.1
            + sympathy_pm_rate * 100.0 * 0.1) * 100.0, 0) / 100.0 AS chronic_score,
-         CASE WHEN total_pm_events >= 5 AND (unscheduled_pm_rate > 0.3 OR life_cv > 0.4) THEN 1 ELSE 0 END AS chronic_flag
+         CASE WHEN total_pm_events >= {min_events} AND (unscheduled_pm_rate > 0.3 OR life_cv > 0.4) THEN 1 ELSE 0 END AS chronic_flag
   FROM {name}_r
 ),
 {name} AS (
@@ -150,7 +151,7 @@ def _tool_scored(keys: str, src: str = "ev", name: str = "scored") -> str:
 )"""
 
 
-TOOLS = _tool_scored("entity, facility, ceid, process_class")
+TOOLS = _tool_scored("entity, facility, ceid")
 CHRONIC_E = "chronic_e AS (SELECT DISTINCT entity FROM scored WHERE chronic_flag = 1)"
 
 
@@ -359,7 +360,7 @@ def queries_sql() -> dict[str, str]:
     q["site_week_kpis"] = rounded(f"WITH {EV},{SITE_FACT} SELECT * FROM site", SITE_DOUBLES)
     # End-to-end runs: the batch pipeline must reproduce the site fact exactly; the
     # stream gold job is run without a chronic table, so its chronic counts are 0.
-    q["pipeline_site_week"] = q["site_week_kpis"]
+    q["pipeline_site_week"] = q["pipeline_recovery"] = q["pipeline_partial_week"] = q["site_week_kpis"]
     q["stream_site_week"] = rounded(
         f"""WITH {EV},{SITE_FACT}
 SELECT * REPLACE (CAST(0 AS BIGINT) AS chronic_tools_count, 0.0 AS chronic_tools_pct) FROM site""",
@@ -417,19 +418,22 @@ FROM scored""",
         TOOL_DOUBLES,
     )
     q["chronic_current"] = rounded(
-        f"""WITH {EV},{_tool_scored("entity, facility, ceid, process_class, ww_year", name="snap")},
+        f"""WITH {EV},{_tool_scored("entity, facility, ceid, ww_year", name="snap")},
 snapd AS (SELECT *, {FY_END('ww_year')} AS calculation_date FROM snap)
 SELECT * FROM snapd WHERE calculation_date = (SELECT max(calculation_date) FROM snapd) AND chronic_flag = 1""",
         TOOL_DOUBLES,
     )
-    q["chronic_weekly_change"] = rounded(
-        f"""WITH {EV},{_tool_scored("entity, facility, ceid, process_class, ww_year, ww_number, work_week", name="wk")}
+    weekly = lambda n: rounded(
+        f"""WITH {EV},{_tool_scored("entity, facility, ceid, ww_year, ww_number, work_week", name="wk", min_events=n)}
 SELECT *,
        CASE WHEN row_number() OVER w = 1 THEN 0.0 ELSE chronic_score - lag(chronic_score) OVER w END AS chronic_score_change,
        CASE WHEN row_number() OVER w = 1 THEN 0 WHEN chronic_flag <> lag(chronic_flag) OVER w THEN 1 ELSE 0 END AS status_changed
-FROM wk WINDOW w AS (PARTITION BY entity, facility, ceid, process_class ORDER BY ww_year, ww_number)""",
+FROM wk WINDOW w AS (PARTITION BY entity, facility, ceid ORDER BY ww_year, ww_number)""",
         (*TOOL_DOUBLES, "chronic_score_change"),
     )
+    q["chronic_weekly_change"] = weekly(5)
+    # One event in a week suffices: weeks are flagged and statuses change.
+    q["chronic_weekly_change_low_bar"] = q["pipeline_history"] = weekly(1)
     q["severity_counts"] = rounded(
         f"""WITH {EV},{TOOLS}
 SELECT chronic_severity, count(*) AS tool_count, avg(chronic_score) AS avg_score FROM scored WHERE chronic_flag = 1 GROUP BY chronic_severity""",
@@ -495,7 +499,7 @@ FROM d2"""
     q["week_dimension"] = f"WITH {PM},{WEEKS_DIM} SELECT * FROM weekdim"
     q["distinct_weeks"] = f"WITH {EV} SELECT DISTINCT ww_year, ww_number, work_week FROM ev"
     q["chronic_snapshots"] = rounded(
-        f"""WITH {EV},{_tool_scored("entity, facility, ceid, process_class, ww_year", name="snap")}
+        f"""WITH {EV},{_tool_scored("entity, facility, ceid, ww_year", name="snap")}
 SELECT *, {FY_END('ww_year')} AS calculation_date FROM snap""",
         TOOL_DOUBLES,
     )
@@ -661,19 +665,23 @@ SELECT order_key, line_number, entity, event_ts FROM pm, mx
 WHERE event_ts >= CAST(mx.d - 7 AS TIMESTAMP) AND event_ts < CAST(mx.d AS TIMESTAMP)"""
     q["retention_filter"] = f"""WITH {PM}
 SELECT work_week, count(*) AS row_count FROM pm WHERE event_ts >= (SELECT max(event_ts) FROM pm) - INTERVAL 182 DAY GROUP BY work_week"""
-    q["top_unscheduled_ceids"] = rounded(
+    unscheduled = lambda n: rounded(
         f"""WITH {EV},{CEID_FACT}
 SELECT ceid, facility, process_class, work_week, total_pm_events, unscheduled_pm_rate * 100.0 AS unscheduled_pct,
        chronic_chambers, total_chambers
-FROM ceidf WHERE total_pm_events >= 10
+FROM ceidf WHERE total_pm_events >= {n}
 ORDER BY unscheduled_pm_rate DESC, ceid, facility, process_class, ww_year, ww_number LIMIT 10""",
         ("unscheduled_pct",),
     )
-    q["parts_needing_attention"] = f"""WITH {EV},{PART}
+    q["top_unscheduled_ceids"] = unscheduled(10)
+    q["top_unscheduled_ceids_low_bar"] = unscheduled(2)
+    attention = lambda n: f"""WITH {EV},{PART}
 SELECT part_name, ceid, entity, work_week, replacement_count, CAST(trunc(avg_life_at_replacement) AS INTEGER) AS avg_life,
        early_replacement_count, late_replacement_count
-FROM partf WHERE replacement_count >= 3
-ORDER BY avg_life_at_replacement ASC NULLS LAST, part_name, entity, facility, ceid, ww_year, ww_number LIMIT 20"""
+FROM partf WHERE replacement_count >= {n}
+ORDER BY avg_life_at_replacement ASC NULLS LAST, part_name, entity, facility, ceid, ww_year, ww_number LIMIT 20"""
+    q["parts_needing_attention"] = attention(3)
+    q["parts_needing_attention_low_bar"] = attention(1)
     q["latest_site_kpis"] = rounded(
         f"""WITH {EV},{SITE_FACT}
 SELECT facility, work_week, total_pm_events, unscheduled_pm_rate * 100.0 AS unscheduled_pct, chronic_tools_count,

@@ -6,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from toolwatch import sinks
-from toolwatch.operators import dims, reports, rolling
-from toolwatch.operators.joins import broadcast_if_small
+from toolwatch.functions.agg import exact_sum, exact_sum0
+from toolwatch.operators import chronic, dims, kpis, reports, rolling
+from toolwatch.operators.enrich import enrich as enrich_events
+from toolwatch.operators.enrich import with_chronic_status
+from toolwatch.rules import Rules
 from toolwatch.sources import scans
 
 
@@ -100,11 +103,12 @@ def test_scans(spark):
     assert [r.id for r in scans.retention(ev, "ts", dt.datetime(2024, 2, 1), 4).orderBy("id").collect()] == [2, 3]
 
 
-def test_broadcast_check(spark):
-    small = spark.range(5)
-    big = spark.range(100)
-    assert "broadcast" in str(small.join(broadcast_if_small(small, 10), "id")._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(big.join(broadcast_if_small(big, 10), "id")._jdf.queryExecution().logical()).lower()
+def test_sums_show_infinite_and_huge_values(spark):
+    df = spark.createDataFrame(
+        [("a", 0.1), ("a", 0.2), ("a", float("nan")), ("a", None), ("b", float("inf")), ("b", 1.0), ("c", 1e30), ("c", 2.0), ("d", None), ("e", -1e15), ("e", 0.5)],
+        "k string, v double")
+    got = {r.k: (r.s, r.z) for r in df.groupBy("k").agg(exact_sum("v").alias("s"), exact_sum0("v").alias("z")).collect()}
+    assert got == {"a": (0.3, 0.3), "b": (float("inf"),) * 2, "c": (1e30 + 2.0,) * 2, "d": (None, 0.0), "e": (-1e15 + 0.5,) * 2}
 
 
 def test_sinks_modes_and_retention(spark, tmpdir_path):
@@ -149,3 +153,37 @@ def test_partition_drop_retention(spark, tmpdir_path):
     assert left == [(2024, 20), (2024, 40)]
     sinks.drop_partitions_before(spark, f"{tmpdir_path}/raw", 2024, 2)
     assert sorted(r.source_week for r in spark.read.parquet(f"{tmpdir_path}/raw").collect()) == ["2024WW30"]
+
+
+def test_tool_that_changes_class_is_one_tool(spark):
+    """The class is the latest one; joins on the tool do not fan events out."""
+    rows = [("T1", "F", "C", "old" if i < 6 else "new", dt.datetime(2024, 1, 1 + i), 1.0 + i, 10.0, "Unscheduled Downtime", "2024WW01", 2.0) for i in range(12)]
+    ev = spark.createDataFrame(rows, "entity string, facility string, ceid string, process_class string, event_ts timestamp_ntz, actual_life double, target_life double, downtime_type string, work_week string, down_hours double")
+    en = enrich_events(ev)
+    tools = chronic.chronic_tools(en)
+    got = tools.collect()
+    assert len(got) == 1 and got[0].process_class == "new" and got[0].total_pm_events == 12 and got[0].chronic_flag == 1
+    assert with_chronic_status(en, tools).count() == 12
+    assert [r.chronic_tools_count for r in kpis.downtime_summary(en, tools).filter("process_class = 'new'").collect()] == [1]
+
+
+def test_history_built_in_parts_equals_one_pass(spark):
+    import random
+
+    r = random.Random(8)
+    rows = []
+    for t in range(12):
+        for w in sorted(r.sample(range(1, 30), 9)):
+            for _ in range(r.randint(1, 3)):
+                kind = r.choice(["Unscheduled", "Scheduled"])
+                rows.append((f"T{t}", "F", "C", "x", dt.datetime(2024, 1, 1), r.uniform(1, 50), 10.0, kind, f"2024WW{w:02d}", r.uniform(0, 9)))
+    ev = spark.createDataFrame(rows, "entity string, facility string, ceid string, process_class string, event_ts timestamp_ntz, actual_life double, target_life double, downtime_type string, work_week string, down_hours double")
+    en, rules = enrich_events(ev), Rules(min_pm_events=1)
+    whole = chronic.chronic_weekly(en, rules)
+    key = lambda df: {(x.entity, x.ww_number): (x.chronic_score, round(x.chronic_score_change, 9) if x.chronic_score_change is not None else None, x.status_changed) for x in df.collect()}
+    want = key(whole)
+    stored = chronic.chronic_weekly(en.filter("ww_number % 3 <> 1"), rules)
+    new = [(2024, w) for w in range(1, 30) if w % 3 == 1]
+    changed, touched = chronic.chronic_weekly_update(chronic.weekly_scores(en.filter("ww_number % 3 = 1"), rules), stored, new)
+    merged = {k: v for k, v in key(stored).items() if (2024, k[1]) not in touched} | key(changed)
+    assert merged == want and any(v[2] for v in want.values())

@@ -193,3 +193,129 @@ def test_apply_retention_drops_old_weeks(spark, rendered, tmpdir_path):
     left = {r.work_week for r in spark.read.parquet(layout.enriched).select("work_week").distinct().collect()}
     assert left == {WEEKS[-1]}
     assert {r.source_week for r in spark.read.parquet(layout.raw).select("source_week").distinct().collect()} == {WEEKS[-1]}
+
+
+def _site(spark, layout):
+    return {(r.facility, r.work_week): r.total_pm_events for r in spark.read.parquet(layout.site).collect()}
+
+
+def _loaded(spark, ev, layout, root, weeks, at):
+    dim = testbed.class_dimension(spark, SF_SMALL)
+    for ww in weeks:
+        jobs.bronze(spark, root, layout, work_week=ww, class_dim=dim, as_of=at)
+
+
+def test_weeks_left_by_a_failed_gold_run_are_built_by_the_next(spark, rendered, tmpdir_path, monkeypatch):
+    root, ev = rendered
+    layout = jobs.Layout(tmpdir_path)
+    dim = testbed.class_dimension(spark, SF_SMALL)
+    jobs.full_pipeline(spark, root, layout, work_week=WEEKS[0], class_dim=dim, as_of=AS_OF)
+
+    def broken(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs.kpis, "part_week_summary", broken)
+        with pytest.raises(RuntimeError):
+            jobs.full_pipeline(spark, root, layout, work_week=WEEKS[1], class_dim=dim, as_of=AS_OF + dt.timedelta(days=7))
+    res = jobs.full_pipeline(spark, root, layout, work_week=WEEKS[1], class_dim=dim, as_of=AS_OF + dt.timedelta(days=8))
+    assert res["bronze"]["status"] == "SKIPPED" and res["silver"]["status"] == "NO_DATA" and res["gold"]["part_rows"] > 0
+    for path in (layout.part, layout.site, layout.history, layout.summary):
+        assert {r.work_week for r in spark.read.parquet(path).select("work_week").distinct().collect()} == set(WEEKS[:2])
+    assert jobs.sinks.pending_weeks(spark, layout.pending, "GOLD") == []
+
+
+def test_silver_that_dies_after_its_write_is_finished(spark, rendered, tmpdir_path, monkeypatch):
+    root, ev = rendered
+    layout = jobs.Layout(tmpdir_path)
+    _loaded(spark, ev, layout, root, WEEKS[:2], AS_OF)
+
+    def broken(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs.kpis, "downtime_summary", broken)
+        with pytest.raises(RuntimeError):
+            jobs.silver(spark, layout, as_of=AS_OF)
+    s = jobs.silver(spark, layout, as_of=AS_OF + dt.timedelta(hours=1))
+    assert s["status"] == "NO_DATA" and s["summary_rows"] > 0 and len(s["weeks"]) == 2
+    assert {r.work_week for r in spark.read.parquet(layout.summary).select("work_week").distinct().collect()} == set(WEEKS[:2])
+    assert spark.read.parquet(layout.enriched).count() == ev.filter(F.col("work_week").isin(WEEKS[:2])).count()
+
+
+def test_rows_loaded_under_an_older_stamp_are_taken(spark, rendered, tmpdir_path):
+    root, ev = rendered
+    layout = jobs.Layout(tmpdir_path)
+    dim = testbed.class_dimension(spark, SF_SMALL)
+    jobs.full_pipeline(spark, root, layout, work_week=WEEKS[0], class_dim=dim, as_of=AS_OF)
+    _loaded(spark, ev, layout, root, [WEEKS[1]], AS_OF - dt.timedelta(days=30))
+    s = jobs.silver(spark, layout, as_of=AS_OF + dt.timedelta(days=1))
+    assert s["rows_enriched"] == ev.filter(F.col("work_week") == WEEKS[1]).count()
+
+
+def test_load_that_was_not_committed_is_no_data_and_loaded_again(spark, rendered, tmpdir_path, monkeypatch):
+    root, ev = rendered
+    layout = jobs.Layout(tmpdir_path)
+    dim = testbed.class_dimension(spark, SF_SMALL)
+    path = jobs.files.find_files_for_week(spark, root, WEEKS[0])
+
+    def broken(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs.sinks, "commit_loads", broken)
+        with pytest.raises(RuntimeError):
+            jobs.ingest_files(spark, path, layout, WEEKS[0], dim, AS_OF)
+    assert spark.read.parquet(layout.raw).count() > 0
+    assert jobs.silver(spark, layout, as_of=AS_OF)["status"] == "NO_DATA"
+    assert jobs.bronze(spark, root, layout, work_week=WEEKS[0], class_dim=dim, as_of=AS_OF)["status"] == "SUCCESS"
+    assert jobs.silver(spark, layout, as_of=AS_OF)["rows_enriched"] == ev.filter(F.col("work_week") == WEEKS[0]).count()
+
+
+def test_every_file_of_a_week_is_loaded_once(spark, rendered, tmpdir_path):
+    _, ev = rendered
+    one = ev.filter(F.col("work_week") == WEEKS[0])
+    src, layout = os.path.join(tmpdir_path, "src"), jobs.Layout(os.path.join(tmpdir_path, "wh"))
+    for name, part in (("a", 0), ("b", 1)):
+        testbed.render_weekly_files(one.filter(F.abs(F.hash("entity")) % 2 == part), os.path.join(tmpdir_path, name))
+        os.makedirs(os.path.join(src, WEEKS[0]), exist_ok=True)
+        folder = os.path.join(tmpdir_path, name, f"work_week={WEEKS[0]}")
+        for f in os.listdir(folder):
+            if f.endswith(".csv"):
+                os.rename(os.path.join(folder, f), os.path.join(src, WEEKS[0], f"{name}{f}"))
+    first = jobs.bronze(spark, src, layout, work_week=WEEKS[0], as_of=AS_OF)
+    assert first["rows_loaded"] == one.count() and len(first["files"]) >= 2
+    assert jobs.bronze(spark, src, layout, work_week=WEEKS[0], as_of=AS_OF)["status"] == "SKIPPED"
+
+
+def test_skip_done_builds_whole_weeks(spark, rendered, tmpdir_path):
+    root, ev = rendered
+    layout = jobs.Layout(tmpdir_path)
+    _loaded(spark, ev, layout, root, [WEEKS[0]], AS_OF)
+    jobs.silver(spark, layout, as_of=AS_OF)
+    jobs.gold(spark, layout, as_of=AS_OF)
+    before = _site(spark, layout)
+    new = spark.read.parquet(layout.enriched).limit(1).withColumn("facility", F.lit("NEWFAB")).withColumn("pm_raw_id", F.lit("n1"))
+    new.write.mode("append").partitionBy("ww_year", "ww_number").parquet(layout.enriched)
+    out = jobs.gold(spark, layout, skip_done=True, as_of=AS_OF)
+    after = _site(spark, layout)
+    assert out["ceid_rows"] > 0 and after == {**before, ("NEWFAB", WEEKS[0]): 1}
+
+
+def test_full_refresh_drops_stale_weeks_and_reruns_replace_snapshots(spark, rendered, tmpdir_path):
+    root, ev = rendered
+    layout = jobs.Layout(tmpdir_path)
+    _loaded(spark, ev, layout, root, WEEKS[:2], AS_OF)
+    jobs.silver(spark, layout, as_of=AS_OF)
+    n = spark.read.parquet(layout.chronic).count()
+    jobs.gold(spark, layout, as_of=AS_OF)
+    _loaded(spark, ev, layout, root, [WEEKS[2]], AS_OF)
+    jobs.silver(spark, layout, as_of=AS_OF)  # same stamp: one snapshot
+    snaps = spark.read.parquet(layout.chronic)
+    assert snaps.select("snapshot").distinct().count() == 1 and snaps.count() == snaps.select("entity", "facility", "ceid").distinct().count() >= n
+    y, w = (int(x) for x in WEEKS[0].split("WW"))
+    jobs.sinks.drop_partitions_before(spark, layout.raw, y, w + 1)
+    jobs.silver(spark, layout, as_of=AS_OF, full_refresh=True)
+    jobs.gold(spark, layout, as_of=AS_OF, full_refresh=True)
+    for path in (layout.enriched, layout.summary, layout.site, layout.ceid, layout.part, layout.history):
+        assert {r.work_week for r in spark.read.parquet(path).select("work_week").distinct().collect()} == set(WEEKS[1:])

@@ -4,7 +4,9 @@ Measured quantities (downtime hours, costs) are short decimals stored as
 doubles.  Summing doubles gives a result that depends on the order partial
 sums are merged in, i.e. on partitioning and AQE decisions, so two runs of the
 same job can differ in the last bits.  ``exact_sum`` accumulates in a decimal
-(long-backed adds, exact and order-independent) and converts once at the end.
+(exact and order-independent to 9 decimals) and converts once at the end.  Values no
+decimal holds (infinite, or 1e15 and more) are added as doubles beside it, so they show
+in the sum; NaN counts as missing.
 """
 
 from __future__ import annotations
@@ -12,8 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accumulator type for measured quantities: 29 integer digits, 9 decimals.
+# Accumulator type for measured quantities (up to MOST in size): 9 decimals.
 EXACT = "decimal(38,9)"
+MOST = 1e15
 
 
 def _c(x) -> Column:
@@ -22,7 +25,11 @@ def _c(x) -> Column:
 
 def exact_sum(x) -> Column:
     """Order-independent sum; null for an empty/all-null group."""
-    return F.sum(_c(x).cast(EXACT)).cast("double")
+    v = F.nanvl(_c(x).cast("double"), F.lit(None).cast("double"))
+    small = F.abs(v) < MOST
+    fine = F.sum(F.when(small, v).cast(EXACT)).cast("double")
+    rest = F.sum(F.when(~small, v))
+    return F.coalesce(fine + rest, fine, rest)
 
 
 def exact_sum0(x) -> Column:

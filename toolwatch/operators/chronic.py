@@ -1,6 +1,7 @@
 """Chronic-tool scoring.
 
-A tool is (entity, facility, ceid).  Metrics are one ``groupBy().agg()`` with
+A tool is (entity, facility, ceid); its class is an attribute, that of its latest
+event (a class changes between loads, the tool does not).  Metrics are one ``groupBy().agg()`` with
 only algebraic aggregates (count/sum/avg/stddev), so the map side pre-aggregates
 and a hot tool costs one partial buffer per task, never a gathered group.
 """
@@ -16,7 +17,7 @@ from toolwatch.functions.agg import exact_sum0
 from toolwatch.operators.joins import scalar
 from toolwatch.rules import DEFAULT_RULES, Rules
 
-TOOL_KEYS = ("entity", "facility", "ceid", "process_class")
+TOOL_KEYS = ("entity", "facility", "ceid")
 
 
 def _not_null(df: DataFrame, keys) -> DataFrame:
@@ -28,8 +29,9 @@ def _not_null(df: DataFrame, keys) -> DataFrame:
 
 
 def tool_metrics(enriched: DataFrame, keys=TOOL_KEYS) -> DataFrame:
-    """Per-group event counts, downtime, life spread and label rates (null keys dropped)."""
+    """Per-group class, event counts, downtime, life spread and label rates (null keys dropped)."""
     return _not_null(enriched, keys).groupBy(*keys).agg(
+        F.max_by("process_class", F.struct("event_ts", "process_class")).alias("process_class"),
         F.count(F.lit(1)).alias("total_pm_events"),
         F.sum(F.when(F.col("scheduled_flag") == 0, 1).otherwise(0)).cast("long").alias("unscheduled_pm_count"),
         exact_sum0("down_hours").alias("total_downtime_hours"),
@@ -102,19 +104,25 @@ def chronic_current(snapshots: DataFrame) -> DataFrame:
     return snapshots.filter((F.col("calculation_date") == latest) & (F.col("chronic_flag") == 1))
 
 
-def chronic_weekly(enriched: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Week-by-week chronic status per tool with the change from its previous active week.
+WEEK_KEYS = ("ww_year", "ww_number")
+
+
+def weekly_scores(enriched: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """One scored row per tool and week."""
+    return score_tools(tool_metrics(enriched, (*TOOL_KEYS, *WEEK_KEYS, "work_week")), rules)
+
+
+def with_changes(scores: DataFrame) -> DataFrame:
+    """Add the change of score and status from the tool's previous row (0 at its first).
 
     The window is partitioned by tool over already-aggregated weekly rows, so a
     partition holds at most one row per week the tool was serviced.
     """
-    keys = (*TOOL_KEYS, "ww_year", "ww_number", "work_week")
-    w = score_tools(tool_metrics(enriched, keys), rules)
-    win = Window.partitionBy(*TOOL_KEYS).orderBy("ww_year", "ww_number")
+    win = Window.partitionBy(*TOOL_KEYS).orderBy(*WEEK_KEYS)
     prev_score = F.lag("chronic_score").over(win)
     prev_flag = F.lag("chronic_flag").over(win)
     first = F.row_number().over(win) == 1
-    return w.withColumns(
+    return scores.withColumns(
         {
             "chronic_score_change": F.when(first, F.lit(0.0)).otherwise(F.col("chronic_score") - prev_score),
             "status_changed": F.when(first, F.lit(0)).when(F.col("chronic_flag") != prev_flag, F.lit(1)).otherwise(F.lit(0)),
@@ -122,6 +130,37 @@ def chronic_weekly(enriched: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
     )
 
 
+def chronic_weekly(enriched: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Week-by-week chronic status per tool with the change from its previous active week."""
+    return with_changes(weekly_scores(enriched, rules))
+
+
+def chronic_weekly_update(scores: DataFrame, stored: DataFrame, weeks: list[tuple[int, int]]) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Rows of every week of a stored history that new ``scores`` of ``weeks`` change, and those weeks.
+
+    A rebuilt week changes itself and, for each of its tools, the next week the tool
+    was active in.  Of the stored rows only those tools' are compared; other tools'
+    rows of a next week are carried over.  The result is all rows of the weeks returned,
+    equal to what a run over the whole history gives.
+    """
+    if not weeks:
+        return with_changes(scores.limit(0)), []
+    columns = scores.columns
+    in_weeks = F.struct(*[F.col(k).cast("int") for k in WEEK_KEYS]).isin([F.struct(F.lit(int(y)), F.lit(int(w))) for y, w in weeks])
+    others = stored.filter(~in_weeks)
+    tools = scores.select(*TOOL_KEYS).distinct()
+    own = others.join(tools, list(TOOL_KEYS), "left_semi").select(columns)
+    win = Window.partitionBy(*TOOL_KEYS).orderBy(*WEEK_KEYS)
+    changed = with_changes(scores.unionByName(own)).withColumn("_prev", F.lag(in_weeks).over(win)).withColumn("_new", in_weeks)
+    after = changed.filter(F.col("_prev") & ~F.col("_new")).select(*WEEK_KEYS).distinct()
+    next_weeks = [(r.ww_year, r.ww_number) for r in after.collect()]  # bounded by the calendar
+    touched = sorted({(int(y), int(w)) for y, w in [*weeks, *next_weeks]})
+    in_touched = F.struct(*[F.col(k).cast("int") for k in WEEK_KEYS]).isin([F.struct(F.lit(y), F.lit(w)) for y, w in touched])
+    rows = changed.filter(in_touched).drop("_prev", "_new")
+    carried = others.filter(in_touched).join(tools, list(TOOL_KEYS), "left_anti").select(rows.columns)
+    return rows.unionByName(carried), touched
+
+
 def chronic_entities(chronic: DataFrame) -> DataFrame:
     """Distinct entities flagged chronic in a chronic table."""
     return chronic.filter(F.col("chronic_flag") == 1).select("entity").distinct()

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from toolwatch.functions import calendar as cal
 from toolwatch.functions import classify as cls
 from toolwatch.functions.literals import ts_lit
-from toolwatch.operators.joins import broadcast_if_small
 from toolwatch.rules import DEFAULT_RULES, Rules
 
 # Fill for tools absent from the class dimension.
@@ -34,10 +33,6 @@ OPTIONAL_COLUMNS = {
     "upper_limit": "double",
 }
 
-# Max rows of a class dimension we are willing to broadcast.
-CLASS_DIM_BROADCAST_ROWS = 2_000_000
-
-
 def with_optional_columns(df: DataFrame) -> DataFrame:
     missing = {c: F.lit(None).cast(t) for c, t in OPTIONAL_COLUMNS.items() if c not in df.columns}
     return df.withColumns(missing) if missing else df
@@ -56,8 +51,7 @@ def with_process_class(events: DataFrame, class_dim: DataFrame | None) -> DataFr
     """Left join events to the per-tool class; tools without a class get UNKNOWN."""
     if class_dim is None:
         return events.withColumn("process_class", F.lit(UNKNOWN_CLASS))
-    dim = broadcast_if_small(dedupe_class_dimension(class_dim), CLASS_DIM_BROADCAST_ROWS, bound_by=class_dim)
-    return events.join(dim, "entity", "left").withColumn(
+    return events.join(dedupe_class_dimension(class_dim), "entity", "left").withColumn(
         "process_class", F.coalesce(F.col("process_class"), F.lit(UNKNOWN_CLASS))
     )
 
@@ -104,7 +98,8 @@ def enrich(events: DataFrame, rules: Rules = DEFAULT_RULES, class_dim: DataFrame
 ENRICHED_COLUMNS = (
     "entity", "facility", "ceid", "part_name", "event_ts", "work_week", "process_class",
     "actual_life", "target_life", "downtime_type", "downtime_class", "down_hours", "reclean", "sympathy",
-    "lower_limit", "upper_limit",
+    "lower_limit", "upper_limit", "unique_entity_id", "toolset", "pm_name", "downtime_subclass", "pm_frequency",
+    "part_cost", "part_cost_saving", "labour_hours",
     "ww_year", "ww_number", "fiscal_quarter", "fiscal_month", "timing_class", "life_vs_target",
     "life_vs_target_pct", "scheduled_flag", "scheduled_category", "cycle_efficiency",
     "duration_outlier_flag", "reclean_flag", "sympathy_flag", "downtime_category", "primary_reason",
@@ -118,18 +113,13 @@ def project_enriched(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*want)
 
 
-# Max rows of a chronic snapshot (one row per tool) we are willing to broadcast.
-CHRONIC_BROADCAST_ROWS = 5_000_000
-
-
 def with_chronic_status(enriched: DataFrame, chronic_snapshot: DataFrame) -> DataFrame:
     """Left-join each event to its tool's chronic flag and score from one chronic snapshot.
 
     The snapshot has one row per (entity, facility, ceid); its size follows the
-    fleet, so it is broadcast only behind the size check.
+    fleet, so Spark chooses the join by its measured bytes.
     """
     keys = ["entity", "facility", "ceid"]
     snap = chronic_snapshot.select(*keys, "chronic_flag", "chronic_score")
-    side = broadcast_if_small(snap, CHRONIC_BROADCAST_ROWS)
-    out = enriched.join(side, keys, "left")
+    out = enriched.join(snap, keys, "left")
     return out.withColumn("chronic_flag", F.coalesce(F.col("chronic_flag"), F.lit(0)))

@@ -1,4 +1,8 @@
-"""Join helpers: size-checked broadcast and scalar (one-row) lookups."""
+"""Join helpers: calendar-bounded broadcast and scalar (one-row) lookups.
+
+Other joins carry no hint: Spark broadcasts a side by its measured bytes
+(``autoBroadcastJoinThreshold``, from file sizes or, under AQE, from the shuffled side).
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, bound_by: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows of ``bound_by`` (default
-    ``df``) -- a bounded job that stops early.  Pass as ``bound_by`` a cheap
-    frame with at least as many rows as ``df`` (e.g. the input of a
-    ``distinct``), so the check does not compute the expensive side.  Beyond
-    the bound the side is returned unhinted and the planner uses a shuffle join
-    (which AQE may still convert once it has measured the shuffled side).
-    """
-    n = (bound_by if bound_by is not None else df).limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def broadcast_weeks(weeks: DataFrame) -> DataFrame:
     """Broadcast a set of distinct weeks: bounded by the calendar (<= 53 rows per year)."""
     return F.broadcast(weeks)

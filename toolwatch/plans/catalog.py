@@ -7,6 +7,7 @@ to 6 places (see ``finish``) so the value hash does not depend on summation orde
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 from collections.abc import Callable
 
@@ -31,6 +32,7 @@ HISTOGRAM_BIN_WIDTH = 50.0
 RANGE_START, RANGE_END = _dt.datetime(1997, 1, 1), _dt.datetime(1998, 1, 1)
 WEEK_RANGE = ("1997WW10", "1997WW30")
 EVENTS_PROCESSED_BEFORE = _dt.datetime(2024, 1, 15)
+LOW_BAR = dataclasses.replace(DEFAULT_RULES, min_pm_events=1)
 SITE_FACT_BUILT_BEFORE = _dt.datetime(1999, 1, 1)
 
 
@@ -118,6 +120,11 @@ def q_chronic_weekly_change(spark, d):
     return finish(chr_.chronic_weekly(enriched_events(spark, d)))
 
 
+def q_chronic_weekly_change_low_bar(spark, d):
+    """One event a week suffices for a flag, so that weekly statuses change."""
+    return finish(chr_.chronic_weekly(enriched_events(spark, d), LOW_BAR))
+
+
 def q_severity_counts(spark, d):
     return finish(reports.severity_counts(_chronic(enriched_events(spark, d))))
 
@@ -385,6 +392,14 @@ def q_top_unscheduled_ceids(spark, d):
     return finish(reports.top_unscheduled_ceids(_ceid(enriched_events(spark, d))))
 
 
+def q_top_unscheduled_ceids_low_bar(spark, d):
+    return finish(reports.top_unscheduled_ceids(_ceid(enriched_events(spark, d)), min_events=2))
+
+
+def q_parts_needing_attention_low_bar(spark, d):
+    return finish(reports.parts_needing_attention(kpis.part_week_summary(enriched_events(spark, d)), min_replacements=1))
+
+
 def q_parts_needing_attention(spark, d):
     return finish(reports.parts_needing_attention(kpis.part_week_summary(enriched_events(spark, d))))
 
@@ -423,11 +438,64 @@ def q_pipeline_site_week(spark, d):
     layout = jobs.Layout(f"{run}/warehouse")
     paths = [r.path for r in files.list_week_files(spark, f"{run}/source").select("path").collect()]
     jobs.ingest_files(spark, paths, layout, class_dim=testbed.class_dimension(spark, d), as_of=PIPELINE_AS_OF)
-    jobs.silver(spark, layout, as_of=PIPELINE_AS_OF, build_summary=False)
-    jobs.gold(spark, layout, as_of=PIPELINE_AS_OF, facts=("site",))
+    jobs.silver(spark, layout, as_of=PIPELINE_AS_OF)
+    jobs.gold(spark, layout, as_of=PIPELINE_AS_OF)
+    return finish(spark.read.parquet(layout.site).select(*SITE_OUTPUT))
+
+
+def _ingested(spark, d, tag, parts=1):
+    """Files of the whole table in a fresh warehouse, loaded in ``parts`` loads dealt by a hash of the tool."""
+    from toolwatch.plans import jobs
+    from toolwatch.sources import files
+
+    run = _scratch(spark, tag)
+    layout = jobs.Layout(f"{run}/warehouse")
+    dim = testbed.class_dimension(spark, d)
+
+    def load(k):
+        ev = testbed.pm_events(spark, d)
+        if parts > 1:
+            ev = ev.filter(F.pmod(F.xxhash64("entity", "facility", "work_week"), F.lit(parts)) == k)
+        testbed.render_weekly_files(ev, f"{run}/source{k}")
+        paths = [r.path for r in files.list_week_files(spark, f"{run}/source{k}").select("path").collect()]
+        jobs.ingest_files(spark, paths, layout, class_dim=dim, as_of=PIPELINE_AS_OF)
+
+    return jobs, layout, load
+
+
+def q_pipeline_recovery(spark, d):
+    """A gold run that dies after its first fact, then a rerun without new data: the pending weeks are built."""
+    jobs, layout, load = _ingested(spark, d, "recovery")
+    load(0)
+    jobs.silver(spark, layout, as_of=PIPELINE_AS_OF)
+    jobs.gold(spark, layout, as_of=PIPELINE_AS_OF, facts=("part",), weeks=jobs.silver(spark, layout, as_of=PIPELINE_AS_OF)["weeks"][:5])
+    again = jobs.silver(spark, layout, as_of=PIPELINE_AS_OF)
+    jobs.gold(spark, layout, as_of=PIPELINE_AS_OF, weeks=again["weeks"])
     return finish(spark.read.parquet(layout.site).select(*SITE_OUTPUT))
 
 
+def q_pipeline_partial_week(spark, d):
+    """Half of each week's tools arrive after gold has built the weeks; gold builds what silver reports."""
+    jobs, layout, load = _ingested(spark, d, "partial", parts=2)
+    for k in (0, 1):
+        load(k)
+        s = jobs.silver(spark, layout, as_of=PIPELINE_AS_OF + _dt.timedelta(days=k))
+        jobs.gold(spark, layout, as_of=PIPELINE_AS_OF + _dt.timedelta(days=k), weeks=s["weeks"])
+    # The chronic tools are those of the second run, for the weeks of the first too.
+    jobs.gold(spark, layout, as_of=PIPELINE_AS_OF + _dt.timedelta(days=2), facts=("site",))
+    return finish(spark.read.parquet(layout.site).select(*SITE_OUTPUT))
+
+
+def q_pipeline_history(spark, d):
+    """The chronic history, built from two loads of which the second holds late events of every week."""
+    jobs, layout, load = _ingested(spark, d, "history", parts=2)
+    for k in (0, 1):
+        load(k)
+        s = jobs.silver(spark, layout, as_of=PIPELINE_AS_OF + _dt.timedelta(days=k), build_summary=False, rules=LOW_BAR)
+        jobs.gold(spark, layout, as_of=PIPELINE_AS_OF + _dt.timedelta(days=k), weeks=s["weeks"], facts=("history",), rules=LOW_BAR)
+    return finish(spark.read.parquet(layout.history).drop("calculated_at"))
+
+
 def q_stream_site_week(spark, d):
     """Whole tables rendered as weekly files, then ingest / enrich / gold streams; the site fact."""
     from toolwatch.streaming import incremental
@@ -454,6 +522,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chronic_tools": q_chronic_tools,
     "chronic_current": q_chronic_current,
     "chronic_weekly_change": q_chronic_weekly_change,
+    "chronic_weekly_change_low_bar": q_chronic_weekly_change_low_bar,
     "severity_counts": q_severity_counts,
     "chronic_share": q_chronic_share,
     "top_chronic": q_top_chronic,
@@ -494,7 +563,12 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retention_filter": q_retention_filter,
     "top_unscheduled_ceids": q_top_unscheduled_ceids,
     "parts_needing_attention": q_parts_needing_attention,
+    "top_unscheduled_ceids_low_bar": q_top_unscheduled_ceids_low_bar,
+    "parts_needing_attention_low_bar": q_parts_needing_attention_low_bar,
     "latest_site_kpis": q_latest_site_kpis,
+    "pipeline_recovery": q_pipeline_recovery,
+    "pipeline_partial_week": q_pipeline_partial_week,
+    "pipeline_history": q_pipeline_history,
     "pipeline_site_week": q_pipeline_site_week,
     "stream_site_week": q_stream_site_week,
 }

@@ -2,7 +2,9 @@
 
 Each job is a handful of lazy plans and one write per table.  The driver
 only lists files, picks paths and collects per-job statistics; all row work
-runs in tasks.  Tables are parquet partitioned by week, so reruns rewrite
+runs in tasks.  What a layer has still to do is written down before the rows that
+cause it (``pending_weeks``) and crossed out after it is done, and a load counts only
+once its rows are complete (``loads``): a run that dies is finished by the next one.  Tables are parquet partitioned by week, so reruns rewrite
 only the weeks they touch.
 """
 
@@ -11,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,8 +25,7 @@ from toolwatch.functions.agg import count_if
 from toolwatch.functions.literals import ts_lit
 from toolwatch.operators import chronic as chr_
 from toolwatch.operators import dims, kpis, rolling
-from toolwatch.operators.enrich import enrich, project_enriched
-from toolwatch.operators.joins import broadcast_if_small, broadcast_weeks
+from toolwatch.operators.enrich import dedupe_class_dimension, enrich, project_enriched
 from toolwatch.rules import DEFAULT_RULES, Rules
 from toolwatch.sources import files, scans
 
@@ -33,6 +35,7 @@ WEEK_PARTS = ("ww_year", "ww_number")
 # Minimum writers per week partition for fine-grained facts (tool/part x week
 # grain); AQE splits larger weeks further through the rebalance hint.
 FACT_SPREAD = 1
+FACT_ORDER = ("facility", "ww_year", "ww_number")
 # Columns whose null share is reported after ingest.
 CRITICAL_RAW_COLUMNS = ("ENTITY", "FACILITY", "CEID", "YEARWW", "TXN_DATE", "DOWNTIME_TYPE", "CUSTOM_DELTA", "Median_Delta")
 
@@ -48,6 +51,8 @@ class Layout:
 
     raw = property(lambda s: s._p("raw_events"))
     load_log = property(lambda s: s._p("load_log"))
+    loads = property(lambda s: s._p("loads"))
+    pending = property(lambda s: s._p("pending_weeks"))
     enriched = property(lambda s: s._p("enriched_events"))
     summary = property(lambda s: s._p("downtime_summary"))
     chronic = property(lambda s: s._p("chronic_tools"))
@@ -73,30 +78,52 @@ def bronze(
     validate: bool = True,
     rules: Rules = DEFAULT_RULES,
 ) -> dict:
-    """Find this week's file, clean and type it, tag it, append it once.
+    """Find the week's files, clean and type them, tag them, append each once.
 
-    A file already present in the raw table (same ``source_file``) is skipped,
-    so rerunning the job does not duplicate rows.
+    Every non-empty file of the week (default: of the newest week that has one) is
+    taken.  Files already in the raw table through a completed load are left out, so
+    rerunning the job does not duplicate rows; a file whose load died is loaded again.
+    A failure is logged and raised.
     """
     t0 = time.perf_counter()
     as_of = as_of or _dt.datetime.now()
-    if work_week:
-        path, week = files.find_file_for_week(spark, source_root, work_week), work_week
-    else:
-        path, week = files.find_latest_file(spark, source_root, max_weeks_back=max_weeks_back)
-    if sinks.table_exists(spark, layout.raw):
-        loaded = spark.read.parquet(layout.raw).filter((F.col("source_week") == week) & (F.col("source_file") == path))
-        done = loaded.limit(1).count()
-        if done:
-            stats = {"status": "SKIPPED", "file": path, "work_week": week, "rows_loaded": 0}
-            sinks.append_load_log(spark, layout.load_log, source_file=path, source_week=week, rows_loaded=0,
-                                  status="SKIPPED", error=None, seconds=time.perf_counter() - t0, layer="BRONZE", at=as_of)
-            return stats
-    stats = ingest_files(spark, [path], layout, week, class_dim, as_of, validate, rules)
+
+    def logged(path: str | None, week: str | None, rows: int, status: str, error: str | None = None) -> None:
+        sinks.append_load_log(spark, layout.load_log, source_file=path, source_week=week, rows_loaded=rows, status=status,
+                              error=error, seconds=time.perf_counter() - t0, layer="BRONZE", at=as_of)
+
+    paths: list[str] = []
+    week = work_week
+    try:
+        if work_week:
+            paths = files.find_files_for_week(spark, source_root, work_week)
+        else:
+            paths, week = files.find_latest_files(spark, source_root, max_weeks_back=max_weeks_back)
+        done: set[str] = set()
+        if sinks.table_exists(spark, layout.raw):
+            raw = _committed_rows(spark, layout).filter((F.col("source_week") == week) & F.col("source_file").isin(paths))
+            done = {r.source_file for r in raw.select("source_file").distinct().collect()}
+        new = [p for p in paths if p not in done]
+        for p in paths:
+            if p in done:
+                logged(p, week, 0, "SKIPPED")
+        if not new:
+            return {"status": "SKIPPED", "file": paths[0], "files": paths, "work_week": week, "rows_loaded": 0}
+        stats = ingest_files(spark, new, layout, week, class_dim, as_of, validate, rules)
+    except Exception as e:
+        logged(paths[0] if paths else None, week, 0, "FAILED", str(e)[:2000])
+        raise
     stats["seconds"] = time.perf_counter() - t0
-    sinks.append_load_log(spark, layout.load_log, source_file=path, source_week=week, rows_loaded=stats["rows_loaded"],
-                          status="SUCCESS", error=None, seconds=stats["seconds"], layer="BRONZE", at=as_of)
-    return {"status": "SUCCESS", "file": path, "work_week": week, **stats}
+    logged(new[0] if len(new) == 1 else f"{new[0]} and {len(new) - 1} more", week, stats["rows_loaded"], "SUCCESS")
+    return {"status": "SUCCESS", "file": new[0], "files": new, "work_week": week, **stats}
+
+
+def _committed_rows(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Raw rows of completed loads (all rows, of a table written before loads had ids)."""
+    raw = spark.read.parquet(layout.raw)
+    if "load_id" not in raw.columns:
+        return raw
+    return raw.filter(F.col("load_id").isin(sorted(sinks.committed_loads(spark, layout.loads, "RAW"))))
 
 
 def ingest_files(
@@ -114,8 +141,8 @@ def ingest_files(
     """Read, validate, type, tag and append weekly files in one distributed job.
 
     ``null_action``: what a critical column with more than the rule's null
-    share does -- ``warn`` (log and report) or ``fail`` (raise after the write,
-    so the rows are kept for inspection and the load is reported as failed).
+    share does -- ``warn`` (log and report) or ``fail`` (raise before the load is
+    committed: its rows stay in the table for inspection, but no layer takes them).
 
     ``work_week`` stamps every row; when omitted each row takes the week from
     its file's folder.
@@ -128,12 +155,10 @@ def ingest_files(
     raw = files.add_load_metadata(raw, as_of, work_week)
     raw = files.coerce_raw(raw)
     if class_dim is not None:
-        dim = broadcast_if_small(
-            class_dim.groupBy("entity").agg(F.min("process_class").alias("process_class")), 2_000_000, bound_by=class_dim
-        ).withColumnRenamed("entity", "ENTITY")
-        raw = raw.join(dim, "ENTITY", "left")
+        raw = raw.join(dedupe_class_dimension(class_dim).withColumnRenamed("entity", "ENTITY"), "ENTITY", "left")
     raw = raw.withColumn("process_class", F.coalesce(F.col("process_class") if "process_class" in raw.columns else F.lit(None), F.lit("UNKNOWN")))
-    raw = files.with_row_id(raw)
+    load_id = uuid.uuid4().hex
+    raw = files.with_row_id(raw).withColumn("load_id", F.lit(load_id))
     # Null profile of the critical columns measured by the write job itself (no second scan).
     crit = [c for c in CRITICAL_RAW_COLUMNS if c in raw.columns]
     prof = Observation("null_profile")
@@ -147,7 +172,8 @@ def ingest_files(
         log.warning("columns more than half null: %s", warn)
         if null_action == "fail":
             raise ValueError(f"columns above the null threshold: {warn}")
-    return {"rows_loaded": rows, "null_warnings": warn}
+    sinks.commit_loads(spark, layout.loads, "RAW", [load_id], as_of)
+    return {"rows_loaded": rows, "null_warnings": warn, "load_id": load_id}
 
 
 # ---------------------------------------------------------------- silver
@@ -167,56 +193,76 @@ def silver(
 ) -> dict:
     """Enrich new raw rows, then recompute the summary for touched weeks and the chronic snapshot.
 
-    ``since``: only raw rows loaded after this time are candidates (each load's
-    files carry one ``load_ts``, so row-group statistics skip older files).
-    The ids already enriched are then read only from the week partitions those
-    candidates carry, so the anti-join does not scan the whole history.
+    New are the rows of loads that are complete in the raw table and not yet here;
+    their weeks are recorded as pending for the summary and for gold before they are
+    written.  The ids already enriched are read only from those weeks, so that a rerun
+    after a failure adds nothing twice.  The summary and the snapshot are built for all
+    pending weeks, also when no row is new.  ``weeks`` of the result are those gold has
+    still to build.  ``since``: only raw rows loaded after this time.  With ``start`` or
+    ``end`` loads count as unfinished, and later runs look at them again.
+    ``full_refresh`` rewrites the enriched table, the snapshots and the summary whole.
     """
     t0 = time.perf_counter()
     as_of = as_of or _dt.datetime.now()
-    raw = files.to_events(spark.read.parquet(layout.raw))
-    raw = scans.date_range(raw, "event_ts", start, end)
+    run = uuid.uuid4().hex
+    table = spark.read.parquet(layout.raw)
+    has_ids = "load_id" in table.columns
+    loads = sinks.committed_loads(spark, layout.loads, "RAW")
+    fresh = incremental and not full_refresh and sinks.table_exists(spark, layout.enriched)
+    if has_ids:
+        if fresh:
+            loads -= sinks.committed_loads(spark, layout.loads, "ENRICHED")
+        table = table.filter(F.col("load_id").isin(sorted(loads)))
+    raw = scans.date_range(files.to_events(table), "event_ts", start, end)
     if since is not None and not full_refresh:
         raw = raw.filter(F.col("load_ts") > ts_lit(since))
-    if incremental and not full_refresh and sinks.table_exists(spark, layout.enriched):
-        processed = spark.read.parquet(layout.enriched)
-        if since is not None:
-            y, w = cal.parse_work_week("work_week")
-            cand = raw.select(y.alias("y"), w.alias("w")).distinct()
-            processed = scans.weeks_filter(processed, [(r.y, r.w) for r in cand.collect()])
-        raw = scans.new_by_id(raw, processed, "pm_raw_id", "pm_raw_id")
-    enriched = project_enriched(enrich(raw, rules, None, as_of), extra=("pm_raw_id",))
-    # The weeks this batch touches, measured by the write itself (bounded by the calendar).
-    week_obs = Observation("touched_weeks")
-    enriched = enriched.observe(week_obs, F.collect_set(F.struct(*WEEK_PARTS)).alias("weeks"))
-    if full_refresh:
-        n = sinks.replace_all(enriched, layout.enriched, partition_by=WEEK_PARTS)
-    else:
-        n = sinks.write_table(enriched, layout.enriched, "append", partition_by=WEEK_PARTS)
-    if n == 0:
-        return {"status": "NO_DATA", "rows_enriched": 0, "summary_rows": 0, "chronic_rows": 0, "weeks": [],
-                "seconds": time.perf_counter() - t0}
-    weeks = sorted(
-        (int(r[0]), int(r[1])) for r in (week_obs.get.get("weeks") or []) if r[0] is not None and r[1] is not None
-    )
-
-    all_ev = spark.read.parquet(layout.enriched)
-    scope = scans.date_range(all_ev, "event_ts", start, end)
-    chronic = chr_.with_analysis_period(chr_.chronic_tools(scope, rules), scope).withColumn("calculation_ts", ts_lit(as_of))
-    n_chr = sinks.write_table(chronic, layout.chronic, "append", partition_by=())
-
-    n_sum = 0
-    if build_summary:
-        snapshot = spark.read.parquet(layout.chronic).filter(F.col("calculation_ts") == ts_lit(as_of))
-        touched = scans.weeks_filter(all_ev, weeks)
-        summary = kpis.downtime_summary(touched, snapshot).withColumn("calculated_at", ts_lit(as_of))
-        n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
-
-    if not sinks.table_exists(spark, layout.date_dim):
-        y = as_of.year
-        sinks.write_table(dims.date_dimension(spark, y - 2, 5), layout.date_dim, "fail", partition_by=("fiscal_year",))
-    return {"status": "SUCCESS", "rows_enriched": n, "summary_rows": n_sum, "chronic_rows": n_chr,
-            "weeks": weeks, "seconds": time.perf_counter() - t0}
+    y, w = cal.parse_work_week("work_week")
+    found = [(r.y, r.w) for r in raw.select(y.alias("y"), w.alias("w")).distinct().collect()]  # bounded by the calendar
+    weeks = sorted((int(a), int(b)) for a, b in found if a is not None and b is not None)
+    sinks.add_pending(spark, layout.pending, run, ("SUMMARY", "GOLD"), weeks)
+    n = 0
+    if found:
+        if fresh:
+            processed = scans.weeks_filter(spark.read.parquet(layout.enriched), found)
+            raw = scans.new_by_id(raw, processed, "pm_raw_id", "pm_raw_id")
+        enriched = project_enriched(enrich(raw, rules, None, as_of), extra=("pm_raw_id",))
+        if full_refresh:
+            n = sinks.replace_all(enriched, layout.enriched, partition_by=WEEK_PARTS)
+        else:
+            n = sinks.write_table(enriched, layout.enriched, "append", partition_by=WEEK_PARTS)
+    if has_ids and start is None and end is None and since is None:
+        sinks.commit_loads(spark, layout.loads, "ENRICHED", sorted(loads), as_of)
+
+    todo = sinks.pending_weeks(spark, layout.pending, "SUMMARY")
+    n_chr = n_sum = 0
+    if sinks.table_exists(spark, layout.enriched) and (n or todo or full_refresh):
+        all_ev = spark.read.parquet(layout.enriched)
+        scope = scans.date_range(all_ev, "event_ts", start, end)
+        snapshot = f"s{as_of:%Y%m%dT%H%M%S}"
+        chronic = chr_.with_analysis_period(chr_.chronic_tools(scope, rules), scope).withColumns(
+            {"calculation_ts": ts_lit(as_of), "snapshot": F.lit(snapshot)}
+        )
+        if full_refresh:
+            n_chr = sinks.replace_all(chronic, layout.chronic, partition_by=("snapshot",))
+        else:
+            # A rerun under the same stamp replaces its snapshot.
+            n_chr = sinks.write_table(chronic, layout.chronic, "replace", partition_by=("snapshot",))
+        if build_summary:
+            current = spark.read.parquet(layout.chronic).filter(F.col("snapshot") == snapshot)
+            touched = all_ev if full_refresh else scans.weeks_filter(all_ev, [(a, b) for _, a, b in todo])
+            summary = kpis.downtime_summary(touched, current).withColumn("calculated_at", ts_lit(as_of))
+            if full_refresh:
+                n_sum = sinks.replace_all(summary, layout.summary, partition_by=WEEK_PARTS)
+            else:
+                n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
+            sinks.clear_pending(spark, layout.pending, "SUMMARY", todo)
+
+    if n and not sinks.table_exists(spark, layout.date_dim):
+        year = as_of.year
+        sinks.write_table(dims.date_dimension(spark, year - 2, 5), layout.date_dim, "fail", partition_by=("fiscal_year",))
+    waiting = sorted({(a, b) for _, a, b in sinks.pending_weeks(spark, layout.pending, "GOLD")})
+    return {"status": "SUCCESS" if n else "NO_DATA", "rows_enriched": n, "summary_rows": n_sum, "chronic_rows": n_chr,
+            "weeks": waiting, "seconds": time.perf_counter() - t0}
 
 
 # ---------------------------------------------------------------- gold
@@ -240,47 +286,82 @@ def gold(
     as_of: _dt.datetime | None = None,
     facts: tuple[str, ...] = ("site", "ceid", "part", "history"),
     weeks: list[tuple[int, int]] | None = None,
+    full_refresh: bool = False,
 ) -> dict:
-    """Weekly facts for the weeks in range.
+    """Weekly facts for the weeks in range, sorted by facility, year and week within their files.
 
     ``since``: recompute only weeks that received enriched rows at/after it
     (late events are included: the whole week is recomputed from all its rows).
-    ``skip_done``: the original behaviour, drop facility-weeks already in the
-    site fact (late events for those weeks are then ignored).
+    ``skip_done``: only weeks with a facility that the site fact lacks; each is built
+    whole, from all its rows (late events for weeks that are complete are ignored).
     ``weeks``: recompute exactly these (year, week) pairs, e.g. the ``weeks``
     reported by ``silver``; the scan is then pruned to those partitions.
+    ``full_refresh``: the facts are rewritten whole, so that weeks no longer there go.
+    Pending weeks are crossed out once all four facts have them.
     """
     t0 = time.perf_counter()
     as_of = as_of or _dt.datetime.now()
+    pending = sinks.pending_weeks(spark, layout.pending, "GOLD")
     ev = scans.week_range(spark.read.parquet(layout.enriched), start_ww, end_ww)
     if skip_done and sinks.table_exists(spark, layout.site):
-        ev = scans.new_by_keys(ev, spark.read.parquet(layout.site), ["facility", "work_week"])
-    elif weeks is not None:
+        own = ev.select("facility", "work_week", *WEEK_PARTS).filter("facility IS NOT NULL").distinct()
+        lacking = scans.new_by_keys(own, spark.read.parquet(layout.site), ["facility", "work_week"])
+        weeks = _weeks_of(lacking)
+    elif weeks is None and since is not None:
+        weeks = _weeks_of(ev.filter(F.col("enriched_at") >= ts_lit(since)))
+    if weeks is not None:
         ev = scans.weeks_filter(ev, weeks)
-    elif since is not None:
-        weeks = ev.filter(F.col("enriched_at") >= ts_lit(since)).select(*WEEK_PARTS).distinct()
-        ev = ev.join(broadcast_weeks(weeks), list(WEEK_PARTS), "left_semi")
     chronic_e = latest_chronic_entities(spark, layout)
     stamp = ts_lit(as_of)
+
     def put(df: DataFrame, path: str, spread: int) -> int:
-        return sinks.write_table(df.withColumn("calculated_at", stamp), path, "replace", WEEK_PARTS, cluster=True, spread=spread)
+        df = df.withColumn("calculated_at", stamp)
+        if full_refresh:
+            return sinks.replace_all(df, path, WEEK_PARTS)
+        return sinks.write_table(df, path, "replace", WEEK_PARTS, cluster=True, spread=spread, sort_by=FACT_ORDER)
+
+    def history() -> int:
+        if full_refresh or weeks is None or not sinks.table_exists(spark, layout.history):
+            return put(chr_.chronic_weekly(ev, rules), layout.history, FACT_SPREAD)
+        stored = spark.read.parquet(layout.history).drop("calculated_at")
+        rows, _ = chr_.chronic_weekly_update(chr_.weekly_scores(ev, rules), stored, weeks)
+        # Written aside first: the rows come from partitions that they replace.
+        aside = f"{layout.root.rstrip('/')}/_history_{uuid.uuid4().hex}"
+        rows.write.parquet(aside)
+        n = put(spark.read.parquet(aside), layout.history, FACT_SPREAD)
+        sinks.drop_table(spark, aside)
+        return n
 
     builders = {
         "site": lambda: put(kpis.site_week_kpis(ev, chronic_e), layout.site, 1),
         "ceid": lambda: put(kpis.ceid_week_kpis(ev, chronic_e), layout.ceid, FACT_SPREAD),
         "part": lambda: put(kpis.part_week_summary(ev), layout.part, FACT_SPREAD),
-        "history": lambda: put(chr_.chronic_weekly(ev, rules), layout.history, FACT_SPREAD),
+        "history": history,
     }
     out = {f"{name}_rows": builders[name]() for name in facts}
     # Rolling measures over the (small, aggregated) site fact; rewritten whole.
     if "site" in facts:
         site_all = spark.read.parquet(layout.site)
         out["rolled_rows"] = sinks.replace_all(rolling.rolling_range(site_all, rules), layout.site_rolled, partition_by=())
+    if set(facts) == set(builders):
+        label = lambda y, w: f"{y}WW{w:02d}"
+        built = [
+            (run, y, w) for run, y, w in pending
+            if (weeks is None or (y, w) in set(weeks))
+            and (start_ww is None or label(y, w) >= start_ww) and (end_ww is None or label(y, w) <= end_ww)
+        ]
+        sinks.clear_pending(spark, layout.pending, "GOLD", built)
     out["status"] = "SUCCESS"
     out["seconds"] = time.perf_counter() - t0
     return out
 
 
+def _weeks_of(rows: DataFrame) -> list[tuple[int, int]]:
+    """Distinct (year, week) pairs: bounded by the calendar."""
+    found = rows.select(*WEEK_PARTS).filter("ww_year IS NOT NULL AND ww_number IS NOT NULL").distinct().collect()
+    return sorted((int(r[0]), int(r[1])) for r in found)
+
+
 # ---------------------------------------------------------------- pipeline
 
 
@@ -310,10 +391,7 @@ def apply_retention(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_
 
 
 def last_success(spark: SparkSession, layout: Layout, layer: str) -> _dt.datetime | None:
-    """Time of the last successful run of a layer, from the load log (the incremental watermark).
-
-    Assumes load stamps increase from run to run (runs stamped with the current time).
-    """
+    """Time of the last successful run of a layer, from the load log (for reports; increments go by load ids)."""
     if not sinks.table_exists(spark, layout.load_log):
         return None
     row = (
@@ -362,7 +440,7 @@ def full_pipeline(
                 raise
     if not skip_silver:
         try:
-            res["silver"] = silver(spark, layout, rules=rules, as_of=as_of, since=last_success(spark, layout, "SILVER"))
+            res["silver"] = silver(spark, layout, rules=rules, as_of=as_of)
         except Exception as e:  # noqa: BLE001
             res["silver"] = {"status": "FAILED", "error": str(e)}
             _log("SILVER", "ENRICHMENT", res["silver"])
@@ -372,11 +450,9 @@ def full_pipeline(
             _log("SILVER", "ENRICHMENT", res["silver"])
     if not skip_gold:
         try:
-            silver_weeks = res.get("silver", {}).get("weeks")
-            res["gold"] = gold(
-                spark, layout, since=as_of if not skip_silver and silver_weeks is None else None,
-                weeks=silver_weeks, rules=rules, as_of=as_of,
-            )
+            # Every week some run has left to do, this one or one that died.
+            waiting = sorted({(y, w) for _, y, w in sinks.pending_weeks(spark, layout.pending, "GOLD")})
+            res["gold"] = gold(spark, layout, weeks=None if skip_silver and not waiting else waiting, rules=rules, as_of=as_of)
         except Exception as e:
             _log("GOLD", "KPI_FACTS", {"status": "FAILED", "error": str(e)})
             raise

@@ -46,8 +46,9 @@ def get_spark(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/object-store) folder there; we only invent one
-    when the setting is absent, which happens in local tests.
+    A cluster names a shared (HDFS/object-store) folder there.  One is invented only
+    in a local session without the setting; elsewhere its absence is an error, as
+    executors do not see a folder of one machine.
     """
     try:
         sc = spark.sparkContext
@@ -59,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not d and sc.getCheckpointDir():
             return sc.getCheckpointDir()
     if not d:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="toolwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is not None:
         sc.setCheckpointDir(d)

@@ -146,9 +146,10 @@ def render_weekly_files(events: DataFrame, root: str, fmt: str = "yyyy-MM-dd HH:
     out = events.select(*cols, F.col("work_week").alias("_week"))
     (
         out.withColumnRenamed("_week", "work_week")
-        .repartition("work_week")
+        .hint("rebalance", "work_week")  # a very large week is split over several files
         .write.mode("overwrite")
         .partitionBy("work_week")
         .option("header", "true")
+        .option("escape", '"')
         .csv(root)
     )
