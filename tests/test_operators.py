@@ -187,3 +187,16 @@ def test_history_built_in_parts_equals_one_pass(spark):
     changed, touched = chronic.chronic_weekly_update(chronic.weekly_scores(en.filter("ww_number % 3 = 1"), rules), stored, new)
     merged = {k: v for k, v in key(stored).items() if (2024, k[1]) not in touched} | key(changed)
     assert merged == want and any(v[2] for v in want.values())
+
+
+def test_global_median_is_exact(spark):
+    import random
+    import statistics
+
+    from toolwatch.operators.quantiles import global_median
+
+    r = random.Random(3)
+    for values in ([], [4.0], [1.0, 2.0], [-5.0, 0.0, 0.0, 1e-9], [7.0] * 50 + [8.0] * 50, [r.gauss(0, 1) * 10 ** r.randint(-3, 9) for _ in range(801)], [r.uniform(10, 10.01) for _ in range(500)], [float("-inf"), 1.0, 2.0]):
+        df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double")
+        got = global_median(df, "v").first()["median"]
+        assert got == (statistics.median(values) if values else None)

@@ -151,8 +151,11 @@ def ceid_week_kpis(enriched: DataFrame, chronic_entities: DataFrame | None = Non
     )
 
 
-def part_week_summary(enriched: DataFrame) -> DataFrame:
-    """Part x tool x work-week replacement summary (events with a part name only)."""
+def part_week_summary(enriched: DataFrame, life_saved: bool = False) -> DataFrame:
+    """Part x tool x work-week replacement summary (events with a part name only).
+
+    ``life_saved`` adds the summed life run beyond target, for ``unified_roi``.
+    """
     ev = _not_null(enriched, PART_KEYS)
     t = F.col("timing_class")
     span_seconds = F.timestamp_diff("SECOND", F.min("event_ts"), F.max("event_ts"))
@@ -166,6 +169,7 @@ def part_week_summary(enriched: DataFrame) -> DataFrame:
         _count_if(t == cls.EARLY).alias("early_replacement_count"),
         _count_if(t.isin(cls.LATE, cls.OVERDUE)).alias("late_replacement_count"),
         F.stddev_samp("actual_life").alias("life_stddev"),
+        *([F.coalesce(F.sum(F.greatest(F.col("life_vs_target"), F.lit(0.0))), F.lit(0.0)).alias("life_saved")] if life_saved else []),
     )
 
 
@@ -226,16 +230,21 @@ def downtime_summary(enriched: DataFrame, chronic: DataFrame | None = None) -> D
     )
 
 
-def cost_summary(enriched: DataFrame, part_costs: DataFrame) -> DataFrame:
+def cost_summary(enriched: DataFrame, part_costs: DataFrame | None = None) -> DataFrame:
     """Facility x ceid x work-week part cost totals.
 
-    ``part_costs`` is keyed by (entity, part_name) and is joined without a hint:
+    Without ``part_costs`` the events' own ``part_cost`` (from the file) is taken, of
+    events that have one.  ``part_costs`` is keyed by (entity, part_name) and is joined without a hint:
     its size grows with the fleet, so the planner (and AQE's measured threshold)
     decides between broadcast and shuffle.  Savings credit the part cost for life
     run beyond target: ``cost * (actual - target) / target`` when positive.
     """
     keys = ("facility", "ceid", *WEEK_KEYS)
-    ev = _not_null(enriched, (*keys, "entity", "part_name")).join(part_costs, ["entity", "part_name"], "inner")
+    ev = _not_null(enriched, (*keys, "entity", "part_name"))
+    if part_costs is None:
+        ev = ev.filter(F.col("part_cost").isNotNull()).withColumn("part_cost", F.col("part_cost").cast("double"))
+    else:
+        ev = ev.drop("part_cost").join(part_costs, ["entity", "part_name"], "inner")
     saving = F.when(
         (F.col("target_life") > 0) & (F.col("actual_life") > F.col("target_life")),
         F.col("part_cost") * (F.col("actual_life") - F.col("target_life")) / F.col("target_life"),
@@ -248,19 +257,15 @@ def cost_summary(enriched: DataFrame, part_costs: DataFrame) -> DataFrame:
     )
 
 
-def unified_roi(part_summary: DataFrame, part_costs: DataFrame, labour_costs: DataFrame, enriched: DataFrame, unit_value: float = 1.0) -> DataFrame:
+def unified_roi(part_summary: DataFrame, part_costs: DataFrame, labour_costs: DataFrame, unit_value: float = 1.0) -> DataFrame:
     """Part-week facts joined to part costs (entity, part) and labour costs (facility, ceid).
 
     ``roi = life_saved * unit_value - part_cost * replacements - labour_cost * replacements``
-    where ``life_saved`` is the summed life run beyond target in the group.
+    where ``life_saved`` is the summed life run beyond target in the group
+    (``part_week_summary(events, life_saved=True)``).
     """
-    saved = (
-        _not_null(enriched, PART_KEYS)
-        .groupBy(*PART_KEYS)
-        .agg(F.coalesce(F.sum(F.greatest(F.col("life_vs_target"), F.lit(0.0))), F.lit(0.0)).alias("life_saved"))
-    )
     j = (
-        part_summary.join(saved, list(PART_KEYS), "left")
+        part_summary
         .join(part_costs, ["entity", "part_name"], "inner")
         .join(labour_costs, ["facility", "ceid"], "inner")
     )

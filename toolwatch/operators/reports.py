@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from toolwatch.functions import classify as cls
 from toolwatch.functions.agg import count_if, exact_avg, exact_sum0
 from toolwatch.operators.joins import scalar
+from toolwatch.operators.quantiles import global_median
 from toolwatch.rules import DEFAULT_RULES, Rules
 
 
@@ -74,7 +75,7 @@ def loads_per_week(df: DataFrame, week_col: str, ts_col: str) -> DataFrame:
 
 
 def dashboard_measures(enriched: DataFrame) -> DataFrame:
-    """Global dashboard measures in one aggregate.
+    """Global dashboard measures: one aggregate, and the median by counts.
 
     Unscheduled here counts only rows typed 'unscheduled' (any case); early and
     late use the per-event lower/upper limits; on-time is the remainder.
@@ -84,7 +85,6 @@ def dashboard_measures(enriched: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_pm_events"),
         count_if(F.lower(F.col("downtime_type")) == "unscheduled").alias("unscheduled_pm_count"),
         F.avg(life).alias("avg_pm_life"),
-        F.median(life).alias("median_pm_life"),
         (F.avg(life) - F.avg("target_life")).alias("life_vs_target"),
         count_if(life < F.col("lower_limit")).alias("early_pm_count"),
         count_if(life > F.col("upper_limit")).alias("late_pm_count"),
@@ -92,6 +92,7 @@ def dashboard_measures(enriched: DataFrame) -> DataFrame:
     )
     return m.withColumns(
         {
+            "median_pm_life": global_median(enriched, "actual_life").scalar(),
             "unscheduled_pm_rate": cls.safe_rate("unscheduled_pm_count", "total_pm_events"),
             "on_time_pm_count": F.col("total_pm_events") - F.col("early_pm_count") - F.col("late_pm_count"),
         }
@@ -101,7 +102,7 @@ def dashboard_measures(enriched: DataFrame) -> DataFrame:
 def life_histogram(enriched: DataFrame, bin_width: float) -> DataFrame:
     """Counts of actual life per fixed-width bin, with the global median as a reference line."""
     life = F.col("actual_life")
-    med = scalar(enriched, F.median(life))
+    med = global_median(enriched, "actual_life").scalar()
     return (
         enriched.filter(life.isNotNull())
         .groupBy((F.floor(life / bin_width) * bin_width).alias("bin_start"))

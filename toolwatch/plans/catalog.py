@@ -100,7 +100,7 @@ def q_site_week_extra_measures(spark, d):
 def q_unified_roi(spark, d):
     ev = enriched_events(spark, d)
     return finish(
-        kpis.unified_roi(kpis.part_week_summary(ev), testbed.part_costs(spark, d), testbed.labour_costs(spark, d), ev)
+        kpis.unified_roi(kpis.part_week_summary(ev, life_saved=True), testbed.part_costs(spark, d), testbed.labour_costs(spark, d))
     )
 
 
