@@ -2,7 +2,8 @@
 
 A text may be cut before every space that stands before a character other than
 white space: the byte-level pattern attaches such a space to what follows, and no
-piece reaches over it.  Each chunk is therefore encoded alone, and equal chunks
+piece reaches over it.  It may also be cut before a line break between two characters
+other than white space.  Each chunk is therefore encoded alone, and equal chunks
 (most words) only once per worker process.
 """
 
@@ -16,6 +17,13 @@ _SPACE = re.compile(r"\s")
 _KEEP_CHARS = 64
 
 
+def _loose(part: str) -> bool:
+    """Empty, or with white space at an end (other than one line break that begins a line)."""
+    if not part or _SPACE.match(part[-1]):
+        return True
+    return bool(_SPACE.match(part[1] if part[0] == "\n" else part[0]))
+
+
 def cut(text: str) -> list[str]:
     """The chunks of ``text``; joined they give the text back."""
     out: list[str] = []
@@ -28,48 +36,63 @@ def cut(text: str) -> list[str]:
 
 
 class ChunkEncoder:
-    """``encode_many``: list of chunks -> list of their ids as little-endian uint32 bytes."""
+    """``encode_many``: list of chunks -> list of their ids as little-endian uint32 bytes.
+
+    ``most`` bounds the chunks kept between calls (some 200 bytes each).  ``words``: the
+    vocabulary lower-cases and drops white space, so line breaks count as spaces and
+    ASCII texts are lower-cased first, to share chunks.
+    """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most: int = 400_000):
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most: int = 1_000_000, words: bool = False):
         self.encode_many = encode_many
         self.most = most
+        self.words = words
         self.kept: dict[str, bytes] = {}  # by the chunk without its leading space
 
+    def _parts(self, text: str) -> list[str]:
+        """Chunks without their leading spaces; the first is empty or starts the text."""
+        if not self.words:
+            return text.replace("\n", " \n").split(" ")
+        if text.isascii():
+            text = text.lower()
+        return ["", *filter(None, text.replace("\n", " ").split(" "))]
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text as little-endian uint32 bytes."""
-        texts = list(texts)
         if len(self.kept) > self.most:
             self.kept = {}
-        kept = self.kept
-        heads: set[str] = set()
-        tails: set[str] = set()
-        odd: dict[int, list[str]] = {}
-        for i, text in enumerate(texts):
-            parts = text.split(" ")
-            heads.add(parts[0])
-            del parts[0]
-            new = set(parts).difference(kept)
-            if any(not p or _SPACE.match(p) for p in new):
-                odd[i] = cut(text)
-            else:
-                tails |= new
-        # Chunks of texts with runs of white space, and first chunks, are encoded as they stand.
-        plain = list(heads.union(*odd.values()))
-        after = list(tails)
-        ids = self.encode_many(plain + [" " + p for p in after])
-        whole = dict(zip(plain, ids))
-        long = {}
-        for p, x in zip(after, ids[len(plain):]):
-            if len(p) <= _KEEP_CHARS:
-                kept[p] = x
+        get = self.kept.get
+        plain: set[str] = set()  # encoded as they stand: first chunks, and chunks of texts with runs of white space
+        after: set[str] = set()  # encoded with a space before, if they don't begin a line
+        held = []
+        for text in texts:
+            parts = self._parts(text)
+            head, parts[0] = parts[0], ""
+            found = list(map(get, parts))
+            found[0] = b""
+            missing = [i for i, x in enumerate(found) if x is None] if None in found else []
+            new = {parts[i] for i in missing}
+            # Kept chunks have no white space at either end, but for the break that begins a line.
+            if not self.words and (any(map(_loose, new)) or (head and _loose(head))):
+                chunks = cut(text)
+                plain.update(chunks)
+                held.append((chunks, None, None))
             else:
-                long[p] = x
-        find = kept.__getitem__ if not long else lambda p: kept[p] if p in kept else long[p]
+                plain.add(head)
+                after |= new
+                held.append((head, found, [(i, parts[i]) for i in missing]))
+        first, then = list(plain), list(after)
+        ids = self.encode_many(first + [p if p[0] == "\n" else " " + p for p in then])
+        whole = dict(zip(first, ids))
+        fresh = dict(zip(then, ids[len(first):]))
+        self.kept.update((p, x) for p, x in fresh.items() if len(p) <= _KEEP_CHARS)
         out = []
-        for i, text in enumerate(texts):
-            if i in odd:
-                out.append(b"".join([whole[c] for c in odd[i]]))
+        for head, found, missing in held:
+            if found is None:
+                out.append(b"".join([whole[c] for c in head]))
             else:
-                head, *rest = text.split(" ")
-                out.append(whole[head] + b"".join(map(find, rest)))
+                for i, p in missing:
+                    found[i] = fresh[p]
+                found[0] = whole[head]
+                out.append(b"".join(found))
         return out

@@ -31,7 +31,7 @@ def library_encoder(vocab_file: str) -> ChunkEncoder:
             out += [array("I", e.ids).tobytes() for e in found]
         return out
 
-    return ChunkEncoder(encode_many)
+    return ChunkEncoder(encode_many, words="Lowercase" in str(tok.normalizer))
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
