@@ -358,14 +358,8 @@ weekdim AS (
 def queries_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["site_week_kpis"] = rounded(f"WITH {EV},{SITE_FACT} SELECT * FROM site", SITE_DOUBLES)
-    # End-to-end runs: the batch pipeline must reproduce the site fact exactly; the
-    # stream gold job is run without a chronic table, so its chronic counts are 0.
-    q["pipeline_site_week"] = q["pipeline_recovery"] = q["pipeline_partial_week"] = q["site_week_kpis"]
-    q["stream_site_week"] = rounded(
-        f"""WITH {EV},{SITE_FACT}
-SELECT * REPLACE (CAST(0 AS BIGINT) AS chronic_tools_count, 0.0 AS chronic_tools_pct) FROM site""",
-        SITE_DOUBLES,
-    )
+    # End-to-end runs: pipeline and stream must reproduce the site fact exactly.
+    q["pipeline_site_week"] = q["pipeline_recovery"] = q["pipeline_partial_week"] = q["stream_site_week"] = q["site_week_kpis"]
     q["ceid_week_kpis"] = rounded(f"WITH {EV},{CEID_FACT} SELECT * FROM ceidf", CEID_DOUBLES)
     q["part_week_summary"] = rounded(f"WITH {EV},{PART} SELECT * FROM partf", PART_DOUBLES)
     q["downtime_summary"] = rounded(
@@ -682,6 +676,12 @@ FROM partf WHERE replacement_count >= {n}
 ORDER BY avg_life_at_replacement ASC NULLS LAST, part_name, entity, facility, ceid, ww_year, ww_number LIMIT 20"""
     q["parts_needing_attention"] = attention(3)
     q["parts_needing_attention_low_bar"] = attention(1)
+    q["latest_summaries"] = rounded(
+        f"""WITH {EV},{DOWNTIME}
+SELECT facility, ceid, process_class, work_week, total_pm_events, total_downtime_hours
+FROM dsum ORDER BY ww_year DESC, ww_number DESC, facility, ceid, process_class LIMIT 10""",
+        ("total_downtime_hours",),
+    )
     q["latest_site_kpis"] = rounded(
         f"""WITH {EV},{SITE_FACT}
 SELECT facility, work_week, total_pm_events, unscheduled_pm_rate * 100.0 AS unscheduled_pct, chronic_tools_count,

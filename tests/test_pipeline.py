@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from toolwatch.operators import chronic as chr_
-from toolwatch.operators import kpis
+from toolwatch.operators import kpis, reports
 from toolwatch.operators.enrich import enrich
 from toolwatch.rules import Rules
 from toolwatch.plans import jobs
@@ -94,7 +94,12 @@ def test_stream_matches_batch_and_folds_late_events(spark, rendered, tmpdir_path
     q = incremental.ingest_stream(spark, root, raw, f"{ck}/ingest", AS_OF)
     q.awaitTermination()
     incremental.enrich_stream(spark, raw, enr, f"{ck}/enrich", class_dim=dim, as_of=AS_OF).awaitTermination()
+    more = {f"{n}_path": os.path.join(tmpdir_path, n) for n in ("ceid", "part", "history")}
     incremental.gold_stream(spark, enr, site, f"{ck}/gold").awaitTermination()
+    incremental.gold_stream(spark, enr, os.path.join(tmpdir_path, "site2"), f"{ck}/gold2", **more).awaitTermination()
+    whole = spark.read.parquet(enr)
+    for path, fact in ((more["ceid_path"], kpis.ceid_week_kpis(whole, None)), (more["part_path"], kpis.part_week_summary(whole)), (more["history_path"], chr_.chronic_weekly(whole))):
+        assert spark.read.parquet(path).count() == fact.count() > 0
     after = {(r.facility, r.work_week): r.total_pm_events for r in spark.read.parquet(site).collect()}
     fac = late.first().facility
     assert after[(fac, WEEKS[0])] == before[(fac, WEEKS[0])] + 1
@@ -190,6 +195,11 @@ def test_apply_retention_drops_old_weeks(spark, rendered, tmpdir_path):
     start_last, _ = __import__("toolwatch.functions.calendar", fromlist=["x"]).week_range_of(WEEKS[-1])
     out = jobs.apply_retention(spark, layout, r, as_of=dt.datetime.combine(start_last + dt.timedelta(days=7), dt.time()))
     assert out["enriched"]["cutoff_week"] == WEEKS[-1]
+    assert reports.latest_loads(spark.read.parquet(layout.load_log), 2).count() == 2
+    old = spark.read.parquet(layout.chronic).drop("snapshot")
+    jobs.sinks.write_table(old.withColumn("snapshot", F.lit("s20240701T000000")), layout.chronic, "replace", ("snapshot",))
+    assert len(jobs.sinks.drop_snapshots_before(spark, layout.chronic, AS_OF + dt.timedelta(days=1))) == 1
+    assert {r.snapshot for r in spark.read.parquet(layout.chronic).select("snapshot").distinct().collect()} == {"s20240701T000000"}
     left = {r.work_week for r in spark.read.parquet(layout.enriched).select("work_week").distinct().collect()}
     assert left == {WEEKS[-1]}
     assert {r.source_week for r in spark.read.parquet(layout.raw).select("source_week").distinct().collect()} == {WEEKS[-1]}

@@ -206,6 +206,20 @@ def latest_site_kpis(site: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
+def latest_summaries(summary: DataFrame, k: int = 10) -> DataFrame:
+    """Downtime-summary rows of the most recent weeks."""
+    return (
+        summary.orderBy(F.col("ww_year").desc(), F.col("ww_number").desc(), "facility", "ceid", "process_class")
+        .limit(k)
+        .select("facility", "ceid", "process_class", "work_week", "total_pm_events", "total_downtime_hours")
+    )
+
+
+def latest_loads(load_log: DataFrame, k: int = 10) -> DataFrame:
+    """The most recent rows of the load log."""
+    return load_log.orderBy(F.col("load_ts").desc(), "layer", "source_file").limit(k)
+
+
 def executive_view(site_rolled: DataFrame) -> DataFrame:
     """Projection of the site fact plus rolling measures and average life vs target in percent."""
     t = F.col("target_pm_life")

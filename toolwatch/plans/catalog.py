@@ -404,6 +404,10 @@ def q_parts_needing_attention(spark, d):
     return finish(reports.parts_needing_attention(kpis.part_week_summary(enriched_events(spark, d))))
 
 
+def q_latest_summaries(spark, d):
+    return finish(reports.latest_summaries(kpis.downtime_summary(enriched_events(spark, d))))
+
+
 def q_latest_site_kpis(spark, d):
     return finish(reports.latest_site_kpis(_site(enriched_events(spark, d))))
 
@@ -507,7 +511,9 @@ def q_stream_site_week(spark, d):
         spark, f"{run}/raw", f"{run}/enriched", f"{run}/_ckpt/enrich",
         class_dim=testbed.class_dimension(spark, d), as_of=PIPELINE_AS_OF,
     ).awaitTermination()
-    incremental.gold_stream(spark, f"{run}/enriched", f"{run}/site", f"{run}/_ckpt/gold").awaitTermination()
+    snapshot = _chronic(spark.read.parquet(f"{run}/enriched")).withColumn("calculation_ts", ts_lit(PIPELINE_AS_OF))
+    snapshot.write.parquet(f"{run}/chronic")
+    incremental.gold_stream(spark, f"{run}/enriched", f"{run}/site", f"{run}/_ckpt/gold", chronic_path=f"{run}/chronic").awaitTermination()
     return finish(spark.read.parquet(f"{run}/site").select(*SITE_OUTPUT))
 
 
@@ -566,6 +572,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_unscheduled_ceids_low_bar": q_top_unscheduled_ceids_low_bar,
     "parts_needing_attention_low_bar": q_parts_needing_attention_low_bar,
     "latest_site_kpis": q_latest_site_kpis,
+    "latest_summaries": q_latest_summaries,
     "pipeline_recovery": q_pipeline_recovery,
     "pipeline_partial_week": q_pipeline_partial_week,
     "pipeline_history": q_pipeline_history,

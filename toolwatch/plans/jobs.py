@@ -382,6 +382,8 @@ def apply_retention(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_
     for layer, (weeks, paths) in plan.items():
         y, w = cal.parse_week_label(cal.work_week_of(as_of - _dt.timedelta(weeks=weeks)))
         dropped = [d for p in paths for d in sinks.drop_partitions_before(spark, p, y, w, dry_run)]
+        if layer == "facts":
+            dropped += sinks.drop_snapshots_before(spark, layout.chronic, as_of - _dt.timedelta(weeks=weeks), dry_run)
         out[layer] = {"cutoff_week": f"{y}WW{w:02d}", "dropped_partitions": len(dropped)}
         if not dry_run:
             sinks.append_load_log(spark, layout.load_log, source_file="RETENTION", source_week=f"{y}WW{w:02d}",
