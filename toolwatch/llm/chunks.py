@@ -43,7 +43,7 @@ class ChunkEncoder:
     ASCII texts are lower-cased first, to share chunks.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most: int = 1_000_000, words: bool = False):
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most: int = 400_000, words: bool = False):
         self.encode_many = encode_many
         self.most = most
         self.words = words

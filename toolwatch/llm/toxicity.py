@@ -28,7 +28,7 @@ SAMPLE_ROWS = 4000
 #: of a feature against the two kinds of rows.
 MOST_FEATURES = 4096
 LEAST_G = 15.0
-_REMEMBERED = 500_000
+_REMEMBERED = 200_000
 
 
 def word_features(word: str) -> list[str]:
