@@ -104,7 +104,8 @@ def test_stages_on_no_documents(spark, corpus):
 
 
 def test_queries_are_registered():
-    names = [f"op{n}_" for n in range(1, 11)] + ["pipeline"]
+    names = [f"op{n}_" for n in range(1, 11)]
     have = E.queries()
+    assert "pipeline" in have
     assert all(sum(k.startswith(n) for k in have) == 1 for n in names)
     assert set(Q.ORACLE_SQL) <= set(E.oracle_sql()) and C.ORACLE_SQL is None
