@@ -150,6 +150,34 @@ def test_crowded_regions_are_cut_deeper(spark, monkeypatch):
     assert sum(got[i] != want[i] for i in want) <= 0.02 * len(want)
 
 
+def template_pages(n=700, seed=8):
+    """Pages of one template, any two just below the threshold; each page but the last hundred has one partner above it."""
+    r = random.Random(seed)
+    head = [f"t{i}" for i in range(105)]
+    rows = []
+    for i in range(0, n, 2):
+        own = [f"u{r.randrange(10**6)}" for _ in range(14)]
+        keep = 4 if i < n - 100 else 0
+        rows += [(i, " ".join(head + own)), (i + 1, " ".join(head + own[:keep] + [f"u{r.randrange(10**6)}" for _ in range(14 - keep)]))]
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("block", [None, 50])
+def test_partners_in_a_crowded_template_are_all_found(spark, monkeypatch, block):
+    if block:
+        monkeypatch.setattr(near_dups, "BLOCK_ROWS", block)
+    rows = template_pages()
+    # One large component of the same template; the first page is linked with it.
+    hub = rows[0][1].split()
+    rows += [(5000 + k, " ".join([*hub[:112], f"h{k}", *hub[113:]])) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs, 2).collect()}
+    want = slow_classes(rows, 2)
+    assert got == want
+    assert len({c for _, c in want.values()}) > 300
+
+
 def test_near_duplicate_edge_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A B C D E F"), (None, "a b c d e f"), (3, "q " * 30000), (4, "q " * 30000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
