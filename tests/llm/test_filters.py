@@ -146,6 +146,26 @@ def test_toxicity_on_held_out_labels(spark):
     assert np.mean([r.expected_severity for r in toxic]) > 0.9 > 0.2 > np.mean([r.expected_severity for r in clean])
 
 
+def test_length_alone_is_not_toxic(spark):
+    signs = [f"sign{chr(97 + i)}" for i in range(12)]
+    model = OrdinalModel({w: 1.0 for w in signs}, (4.0, 8.0))
+    filler = ["plain"] * 1000
+    apart = " ".join(x for w in signs for x in [w, *filler])
+    together = [" ".join(["plain"] * at + signs + ["plain"] * (12000 - at)) for at in (0, 250, 508, 700, 12000)]
+    docs = spark.createDataFrame(list(enumerate([apart, " ".join(signs), *together])), "doc_id long, text string")
+    got = {r.doc_id: r for r in score_severity(docs, model).collect()}
+    assert not got[0].rejected and got[0].expected_severity < 0.1
+    assert all(got[i].rejected and got[i].expected_severity == got[1].expected_severity for i in range(1, 7))
+
+
+def test_words_of_few_rows_get_no_weight(spark):
+    rows = [(i, "awful zzgrub " * (i < 40) + " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k)}" for k in range(20)) + " qqrare" * (i < 4)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 40)) for i, _ in rows], "doc_id long, toxic int")
+    weights = train_severity(docs, labels).weights
+    assert "zzgrub" in weights and "qqrare" not in weights
+
+
 def test_toxicity_edge_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (2, "", "x"), (None, "bad " * 9000, "x"), (3, "Bad", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, grade string")

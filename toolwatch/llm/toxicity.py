@@ -3,7 +3,9 @@
 P(grade > k) = sigmoid(w . x - t_k): one weight vector serves all thresholds t_0 < t_1 < ...
 Features are the distinct words of a document and the prefixes of its words (insults of
 compounding languages); only features that tell the grades of the training rows apart
-get a weight.  The model is a short table and travels with the scoring tasks.
+beyond chance, given how many features there are, get a weight.  A text is as severe as the
+worst of its windows, which overlap by half and cover all of it, so length alone adds
+nothing up.  The model is a short table and travels with the scoring tasks.
 """
 
 from __future__ import annotations
@@ -25,9 +27,13 @@ PREFIXES = (4, 5, 6)
 #: Bound of the training sample: labelled rows of either kind (toxic or not).
 SAMPLE_ROWS = 4000
 #: Bound of the features that get a weight, and the least likelihood-ratio statistic (G)
-#: of a feature against the two kinds of rows.
+#: of a feature against the two kinds of rows; it rises with the number of features seen, so
+#: that about CHANCE of them would pass without telling anything.
 MOST_FEATURES = 4096
 LEAST_G = 15.0
+CHANCE = 0.01
+#: Words of a window; texts up to this length are judged whole.
+WINDOW_WORDS = 512
 _REMEMBERED = 200_000
 
 
@@ -39,6 +45,14 @@ def features(text: str) -> set[str]:
     return {f for w in set(WORD.findall(text.lower())) for f in word_features(w)}
 
 
+def worst_window(own: list[tuple[str, ...]], weights: dict[str, float]) -> float:
+    """The greatest sum of the weights of distinct features in any window; ``own`` has the weighted features of each word."""
+    half = WINDOW_WORDS // 2
+    blocks = [{f for x in own[at : at + half] for f in x} for at in range(0, len(own), half)]
+    pairs = [a | b for a, b in zip(blocks, blocks[1:])] or blocks
+    return max((sum(weights[f] for f in sorted(hit)) for hit in pairs), default=0.0)
+
+
 @dataclass(frozen=True)
 class OrdinalModel:
     """Weights by feature and ascending thresholds; grades are 0 to len(thresholds)."""
@@ -132,10 +146,12 @@ def train_severity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     # Presence and absence of the feature in toxic and other rows against independence.
     rest = (n0 + n1) - n
     g = 2 * (term(F.col("a"), n * p) + term(F.col("b"), n * (1 - p)) + term(n1 - F.col("a"), rest * p) + term(n0 - F.col("b"), rest * (1 - p)))
+    seen = written(seen, "toxic-features")
+    least_g = max(LEAST_G, 2 * float(np.log(max(1, seen.count()) / CHANCE)))
     telling = (
         seen.withColumn("toxic_side", F.col("a") * n0 > F.col("b") * n1)
         .withColumn("g", g)
-        .filter((F.col("g") >= LEAST_G) & F.col("toxic_side")).orderBy(F.col("g").desc(), "f").limit(most_features).collect()
+        .filter((F.col("g") >= least_g) & F.col("toxic_side")).orderBy(F.col("g").desc(), "f").limit(most_features).collect()
     )
     number = {r["f"]: i for i, r in enumerate(telling)}
     names = F.array(*[F.lit(f) for f in number]) if number else F.array().cast("array<string>")
@@ -171,14 +187,14 @@ def score_severity(docs: DataFrame, model: OrdinalModel, reject_from: float = 0.
                 known = {}
             scores = []
             for text in b.column(b.num_columns - 1).to_pylist():
-                hit: set[str] = set()
-                for w in set(WORD.findall((text or "").lower())):
+                words = WORD.findall((text or "").lower())
+                some = False
+                for w in set(words):
                     own = known.get(w)
                     if own is None:
                         own = known[w] = tuple(f for f in word_features(w) if f in weights)
-                    if own:
-                        hit.update(own)
-                scores.append(sum(weights[f] for f in sorted(hit)))
+                    some = some or bool(own)
+                scores.append(worst_window([known[w] for w in words], weights) if some else 0.0)
             above = model.above(np.array(scores, dtype=float))
             edges = np.hstack([np.ones((len(scores), 1)), above, np.zeros((len(scores), 1))])
             cols = [pa.array(above[:, 0]), pa.array(above.sum(axis=1)), pa.array((edges[:, :-1] - edges[:, 1:]).argmax(axis=1), pa.int32())]
