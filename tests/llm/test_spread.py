@@ -192,6 +192,14 @@ def test_partners_in_a_crowded_template_are_all_found(spark, monkeypatch, block)
     assert len({c for _, c in want.values()}) > 300
 
 
+def test_cut_regions_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "REGION_ROWS", 16)
+    rows = template_pages(500, 9)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs, 2).collect()}
+    assert got == counted_classes(rows)
+
+
 def test_near_duplicate_edge_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A B C D E F"), (None, "a b c d e f"), (3, "q " * 30000), (4, "q " * 30000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
