@@ -19,6 +19,7 @@ from toolwatch.llm.quality_rules import quality_rules
 from toolwatch.llm.sharding import kd_shards
 from toolwatch.llm.token_counts import token_counts
 from toolwatch.llm.toxicity import score_severity, train_severity
+from toolwatch.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, coded_rows
 
 N_SHARDS = 24
 SHARD_DIMS = ["source", "lang", "n_chars", "doc_id"]
@@ -96,8 +97,43 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), PACK_END_ID)
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded_rows(table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql() -> str:
+    """All rounds as chained tables: distances to every entry, the least of them, floored means."""
+    square = "CAST(list_sum(list_transform(list_zip(t.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+    nearest = f"SELECT t.r, t.p, min({square} * {ENTRIES} + b.e) AS least FROM parts t JOIN book{{i}} b USING (p) GROUP BY ALL"
+    rounds = ""
+    for i in range(ROUNDS):
+        rounds += f"""
+near{i} AS MATERIALIZED ({nearest.format(i=i)}),
+sums{i} AS (
+  SELECT p, least % {ENTRIES} AS e, j, sum(x[j]) AS s, count(*) AS n
+  FROM near{i} JOIN parts USING (r, p), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS j) GROUP BY ALL),
+means{i} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS y FROM sums{i} GROUP BY ALL),
+book{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(y, x) AS x FROM book{i} LEFT JOIN means{i} USING (p, e)),"""
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, v) AS r, vec_id, label, v FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+parts AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // {PARTS}) + 1 : (p + 1) * (len(v) // {PARTS})] AS x FROM kept, (SELECT unnest(range({PARTS})) AS p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM parts WHERE r <= {ENTRIES}),{rounds}
+last AS MATERIALIZED ({nearest.format(i=ROUNDS)}),
+coded AS (
+  SELECT r, string_agg(lower(printf('%02X', least % {ENTRIES})), '' ORDER BY p) AS code, CAST(sum(least // {ENTRIES}) AS BIGINT) AS error
+  FROM last GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book{ROUNDS}) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
+"""
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_bpe, op2_toxicity, op3_token_counts, op4_kd_shards, op5_quality_rules, op6_line_dedup, op7_near_dups, op8_planes, op9_nearest, op10_packing)
+    for f in (op1_bpe, op2_toxicity, op3_token_counts, op4_kd_shards, op5_quality_rules, op6_line_dedup, op7_near_dups, op8_planes, op9_nearest, op10_packing, op12_vector_codes)
 }
-ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op12_vector_codes": _op12_sql()}
