@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from toolwatch.llm.ann import nearest_neighbours
 from toolwatch.llm.bpe import bpe_round_trip
 from toolwatch.llm.common import new_folder
+from toolwatch.llm.lexical import lexical_search
 from toolwatch.llm.line_dedup import line_dedup
 from toolwatch.llm.near_dups import near_duplicates
 from toolwatch.llm.packing import pack
@@ -132,8 +133,36 @@ FROM coded JOIN kept USING (r)
 """
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+items AS (SELECT row_number() OVER () AS i, item_id, text FROM benchmark),
+doc_terms AS (
+  SELECT r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM docs),
+counted AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM doc_terms GROUP BY ALL),
+lengths AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY r),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counted, whole GROUP BY term, docs),
+norms AS (SELECT r, 100 - 25 + ((25 * n * docs) // terms) AS m FROM lengths, whole),
+asked AS (
+  SELECT i, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM items),
+scored AS (
+  SELECT i, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN norms USING (r) GROUP BY i, r),
+ranked AS (
+  SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank
+  FROM scored JOIN docs USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN items USING (i) WHERE rank <= 20
+"""
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_bpe, op2_toxicity, op3_token_counts, op4_kd_shards, op5_quality_rules, op6_line_dedup, op7_near_dups, op8_planes, op9_nearest, op10_packing, op12_vector_codes)
+    for f in (op1_bpe, op2_toxicity, op3_token_counts, op4_kd_shards, op5_quality_rules, op6_line_dedup, op7_near_dups, op8_planes, op9_nearest, op10_packing, op12_vector_codes, op13_lexical_search)
 }
-ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op12_vector_codes": _op12_sql()}
+ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op12_vector_codes": _op12_sql(), "op13_lexical_search": OP13_SQL}
