@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from toolwatch.llm.ann import nearest_neighbours
 from toolwatch.llm.bpe import bpe_round_trip
 from toolwatch.llm.common import new_folder
+from toolwatch.llm.language import language_id
 from toolwatch.llm.lexical import lexical_search
 from toolwatch.llm.line_dedup import line_dedup
 from toolwatch.llm.near_dups import near_duplicates
@@ -98,6 +99,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), PACK_END_ID)
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded_rows(table(spark, sf_dir, "embeddings"))
 
@@ -163,6 +168,6 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN it
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_bpe, op2_toxicity, op3_token_counts, op4_kd_shards, op5_quality_rules, op6_line_dedup, op7_near_dups, op8_planes, op9_nearest, op10_packing, op12_vector_codes, op13_lexical_search)
+    for f in (op1_bpe, op2_toxicity, op3_token_counts, op4_kd_shards, op5_quality_rules, op6_line_dedup, op7_near_dups, op8_planes, op9_nearest, op10_packing, op11_language, op12_vector_codes, op13_lexical_search)
 }
 ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op12_vector_codes": _op12_sql(), "op13_lexical_search": OP13_SQL}
