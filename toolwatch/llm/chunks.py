@@ -4,7 +4,10 @@ A text may be cut before every space that stands before a character other than
 white space: the byte-level pattern attaches such a space to what follows, and no
 piece reaches over it.  It may also be cut before a line break between two characters
 other than white space.  Each chunk is therefore encoded alone, and equal chunks
-(most words) only once per worker process.
+(most words) only once per batch, and while they are in the cache once per worker.
+
+Cutting, finding equal chunks and putting the ids together are array operations over all
+texts of a batch; only the distinct chunks of a batch are looked at one by one.
 """
 
 from __future__ import annotations
@@ -12,6 +15,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 _SPACE = re.compile(r"\s")
 #: Longer chunks are encoded but not kept.
 _KEEP_CHARS = 64
@@ -35,64 +42,115 @@ def cut(text: str) -> list[str]:
     return out
 
 
+class ChunkCache:
+    """Two generations of at most ``most`` chunks each.
+
+    A chunk enters when it is met a second time (as far as a table of hashes tells), so
+    the many that occur once push nothing out.  When the young generation is full it
+    becomes the old one; what is found in the old one moves back to the young.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.met = bytearray(1 << 22)
+        self.n_met = 0
+
+    def get(self, chunks: list[str]) -> list[bytes | None]:
+        found = list(map(self.young.get, chunks))
+        for i, x in enumerate(found):
+            if x is None and (x := self.old.get(chunks[i])) is not None:
+                found[i] = self.young[chunks[i]] = x
+        return found
+
+    def put(self, chunk: str, ids: bytes, times: int) -> None:
+        if len(chunk) > _KEEP_CHARS:
+            return
+        at = hash(chunk) & (len(self.met) - 1)
+        if times > 1 or self.met[at]:
+            self.young[chunk] = ids
+        else:
+            self.met[at] = 1
+            self.n_met += 1
+
+    def turn(self) -> None:
+        """Between batches: keep both generations and the table within their bounds."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        if self.n_met > len(self.met) // 2:
+            self.met, self.n_met = bytearray(len(self.met)), 0
+
+
 class ChunkEncoder:
     """``encode_many``: list of chunks -> list of their ids as little-endian uint32 bytes.
 
-    ``most`` bounds the chunks kept between calls (some 200 bytes each).  ``words``: the
-    vocabulary lower-cases and drops white space, so line breaks count as spaces and
-    ASCII texts are lower-cased first, to share chunks.
+    ``most`` bounds each generation of chunks kept between calls (some 200 bytes a
+    chunk).  ``words``: the vocabulary lower-cases and drops white space, so line breaks
+    count as spaces and ASCII chunks are lower-cased first, to share their ids.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most: int = 400_000, words: bool = False):
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most: int = 250_000, words: bool = False):
         self.encode_many = encode_many
-        self.most = most
         self.words = words
-        self.kept: dict[str, bytes] = {}  # by the chunk without its leading space
-
-    def _parts(self, text: str) -> list[str]:
-        """Chunks without their leading spaces; the first is empty or starts the text."""
-        if not self.words:
-            return text.replace("\n", " \n").split(" ")
-        if text.isascii():
-            text = text.lower()
-        return ["", *filter(None, text.replace("\n", " ").split(" "))]
+        self.cache = ChunkCache(most)  # by the chunk without its leading space
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text as little-endian uint32 bytes."""
-        if len(self.kept) > self.most:
-            self.kept = {}
-        get = self.kept.get
-        plain: set[str] = set()  # encoded as they stand: first chunks, and chunks of texts with runs of white space
-        after: set[str] = set()  # encoded with a space before, if they don't begin a line
-        held = []
-        for text in texts:
-            parts = self._parts(text)
-            head, parts[0] = parts[0], ""
-            found = list(map(get, parts))
-            found[0] = b""
-            missing = [i for i, x in enumerate(found) if x is None] if None in found else []
-            new = {parts[i] for i in missing}
-            # Kept chunks have no white space at either end, but for the break that begins a line.
-            if not self.words and (any(map(_loose, new)) or (head and _loose(head))):
-                chunks = cut(text)
-                plain.update(chunks)
-                held.append((chunks, None, None))
-            else:
-                plain.add(head)
-                after |= new
-                held.append((head, found, [(i, parts[i]) for i in missing]))
-        first, then = list(plain), list(after)
-        ids = self.encode_many(first + [p if p[0] == "\n" else " " + p for p in then])
-        whole = dict(zip(first, ids))
-        fresh = dict(zip(then, ids[len(first):]))
-        self.kept.update((p, x) for p, x in fresh.items() if len(p) <= _KEEP_CHARS)
-        out = []
-        for head, found, missing in held:
-            if found is None:
-                out.append(b"".join([whole[c] for c in head]))
-            else:
-                for i, p in missing:
-                    found[i] = fresh[p]
-                found[0] = whole[head]
-                out.append(b"".join(found))
+        texts = list(texts)
+        if not texts:
+            return []
+        lines = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " " if self.words else " \n")
+        lists = pc.split_pattern(lines, " ")
+        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+        offsets = np.asarray(lists.offsets)
+        flat = lists.flatten()
+        firsts = offsets[:-1]  # every text has a first chunk, if an empty one
+        named = flat.dictionary_encode()
+        at = np.asarray(named.indices).astype(np.int32)
+        distinct = named.dictionary.to_pylist()
+        times = np.bincount(at, minlength=len(distinct))
+        keys = [c.lower() if c.isascii() else c for c in distinct] if self.words else distinct
+        found = self.cache.get(keys)
+        heads = [] if self.words else flat.take(pa.array(firsts)).to_pylist()
+        missing = [i for i, x in enumerate(found) if x is None]
+        special: list[int] = []
+        if not self.words:
+            # A first chunk is encoded as it stands; all others have a space before, if they don't begin a line.
+            loose = np.zeros(len(distinct), dtype=bool)
+            loose[[i for i in missing if _loose(keys[i])]] = True
+            found_loose = loose[at]
+            found_loose[firsts] = [bool(h) and _loose(h) for h in heads]
+            special = np.flatnonzero(np.add.reduceat(found_loose, firsts, dtype=np.int64)).tolist()
+            missing = [i for i in missing if not loose[i]]
+        wanted = dict.fromkeys(keys[i] for i in missing)
+        then = [k for k in wanted if k]
+        # Texts with runs of white space are cut with more care, and their chunks encoded as they stand.
+        pieces = {i: cut(texts[i]) for i in special}
+        plain = list(dict.fromkeys([h for h in heads if h] + [c for own in pieces.values() for c in own if c]))
+        ids = self.encode_many(plain + [p if p[0] == "\n" else " " + p for p in then])
+        whole = dict(zip(plain, ids), **{"": b""})
+        fresh = dict(zip(then, ids[len(plain) :]), **{"": b""})
+        for i in missing:
+            found[i] = fresh[keys[i]]
+            if keys[i]:
+                self.cache.put(keys[i], found[i], int(times[i]))
+        self.cache.turn()
+        raws = [x or b"" for x in found] + [whole[h] for h in heads]
+        if heads:
+            at[firsts] = len(distinct) + np.arange(len(heads), dtype=np.int32)
+        lengths = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws)) // 4
+        pool = np.frombuffer(b"".join(raws), dtype="<u4")
+        starts = np.cumsum(lengths) - lengths
+        out: list[bytes] = []
+        careful = set(special)
+        for a in range(0, len(texts), 256):
+            b = min(a + 256, len(texts))
+            own = at[offsets[a] : offsets[b]]
+            n = lengths[own]
+            before = np.cumsum(n) - n
+            got = pool[np.repeat(starts[own] - before, n) + np.arange(int(n.sum()))]
+            ends = np.cumsum(np.add.reduceat(n, offsets[a:b] - offsets[a])).tolist()
+            for i, x, y in zip(range(a, b), [0, *ends], ends):
+                out.append(b"".join([whole[c] for c in pieces[i]]) if i in careful else got[x:y].tobytes())
         return out

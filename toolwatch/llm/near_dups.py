@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,9 +43,10 @@ CENTRES = 2
 SKETCH = 64
 #: A pair of similarity s agrees in a share of its sketch with a deviation under 0.055; 4.5 deviations are allowed.
 SKETCH_SLACK = 0.225
-#: Documents whose shingles are counted to tell the common ones, and how many of these are
-#: known to each task.  Any order of the shingles gives the same links; this one gives few candidates.
-COUNTED_DOCS, COMMON = 8000, 200_000
+#: All shingles of all documents are counted in so many counters by the first bits of their
+#: hashes.  Strangers in a counter add about the same to all, so what stands in few documents
+#: sorts before what stands in many.  Any order gives the same links; this one gives few candidates.
+COUNTER_BITS, BLOCK_BITS = 22, 14
 #: Rows of one shingle that meet in a task; more are dealt in blocks, and each block meets every other.
 BLOCK_ROWS = 4096
 #: A pair must share a shingle among the first, and one more for each so many shingles of the smaller set.
@@ -82,15 +84,23 @@ def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit hash of the set (h1, h2), signature and sketch of each row."""
+    """doc_id, n_shingles, a 128-bit hash of the set (h1, h2), signature and sketch of each row; written.
+
+    Besides there are rows with a ``block``, null in all others: each task's ``counts`` of
+    the shingles it has met, a block of counters a row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = _multipliers(TREES * DEPTH)
         step = TREES * DEPTH // SKETCH
+        counts = np.zeros(1 << COUNTER_BITS, dtype=np.uint32)
+        names = ["doc_id", "n_shingles", "h1", "h2", "signature", "sketch", "block", "counts"]
         for b in batches:
             n, h1, h2, sig, sketch = [], [], [], [], []
             for text in b.column("text").to_pylist():
                 s = shingle_set(text or "", shingle_words)
+                at = (s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+                np.add.at(counts, at, np.uint32(1))
                 whole = xxhash.xxh3_128_intdigest(s.tobytes())
                 values = signature(s, multipliers)
                 n.append(len(s))
@@ -98,13 +108,24 @@ def sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
                 h2.append((whole & (2**64 - 1)) - 2**63)
                 sig.append(values.astype(">u4").tobytes())
                 sketch.append((values[::step] & np.uint32(255)).astype(np.uint8).tobytes())
+            none = pa.nulls(len(n))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sig, pa.binary()), pa.array(sketch, pa.binary())],
-                ["doc_id", "n_shingles", "h1", "h2", "signature", "sketch"],
+                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sig, pa.binary()), pa.array(sketch, pa.binary()),
+                 none.cast(pa.int32()), none.cast(pa.binary())],
+                names,
             )
+        blocks = counts.reshape(-1, 1 << BLOCK_BITS)
+        held = np.flatnonzero(blocks.any(axis=1))
+        none, zero = pa.nulls(len(held)), pa.array(np.zeros(len(held), dtype=np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [none.cast(pa.int64()), zero, zero, zero, none.cast(pa.binary()), none.cast(pa.binary()),
+             pa.array(held.astype(np.int32)), pa.array([zstandard.compress(blocks[k].tobytes(), 1) for k in held], pa.binary())],
+            names,
+        )
 
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    return arrow_map(slim, run, "doc_id long, n_shingles long, h1 long, h2 long, signature binary, sketch binary")
+    schema = "doc_id long, n_shingles long, h1 long, h2 long, signature binary, sketch binary, block int, counts binary"
+    return written(arrow_map(slim, run, schema), "sketches")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.Table]:
@@ -208,33 +229,28 @@ def candidate_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
     return found.distinct()
 
 
-def _common(docs: DataFrame, n_classes: int, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Common shingles, sorted, and how many of the counted documents have each."""
+def shingle_counts(parts: DataFrame) -> np.ndarray:
+    """The counters of all tasks added up: a table of fixed size (4 bytes each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
         for b in batches:
-            sets = [shingle_set(t or "", shingle_words).view(np.int64) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.list_(pa.int64()))], ["tokens"])
+            for block, raw in zip(b.column("block").to_pylist(), b.column("counts").to_pylist()):
+                own = np.frombuffer(zstandard.decompress(raw), dtype=np.uint32)
+                totals[block] = totals[block] + own if block in totals else own.astype(np.uint64)
+        some = [(k, np.minimum(v, 2**32 - 1).astype(np.uint32).tobytes()) for k, v in totals.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in some], pa.int32()), pa.array([v for _, v in some], pa.binary())], ["block", "counts"])
 
-    every = max(1, n_classes // COUNTED_DOCS)
-    some = docs.filter(F.pmod(F.xxhash64(docs["doc_id"].cast("long")), F.lit(every)) == 0).select("text")
-    tokens = arrow_map(some, run, "tokens array<long>").select(F.explode("tokens").alias("token"))
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    top = counts.orderBy(F.col("n").desc(), "token").limit(COMMON).collect()
-    token = np.array([r["token"] for r in top], dtype=np.int64).view(np.uint64)
-    n = np.array([r["n"] for r in top], dtype=np.int64)
-    order = np.argsort(token)
-    return token[order], n[order]
+    out = np.zeros((1 << (COUNTER_BITS - BLOCK_BITS), 1 << BLOCK_BITS), dtype=np.uint32)
+    for r in arrow_map(parts.repartition("block"), run, "block int, counts binary").collect():  # a row for each block of counters
+        out[r["block"]] = np.frombuffer(r["counts"], dtype=np.uint32)
+    return out.reshape(-1)
 
 
-def first_shingles(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], threshold: float) -> np.ndarray:
+def first_shingles(shingles: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
     """The first shingles of a sorted set, rare ones first: enough to hold those a set that reaches the threshold must share."""
     n = len(shingles)
-    token, count = common
-    rank = np.zeros(n, dtype=np.int64)
-    if len(token):
-        at = np.searchsorted(token, shingles).clip(0, len(token) - 1)
-        rank = np.where(token[at] == shingles, count[at], 0)
+    rank = counts[(shingles >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
     return shingles[np.argsort(rank, kind="stable")[: n - int(np.ceil(threshold * n - 1e-9)) + 1 + n // MORE_EACH]]
 
 
@@ -289,15 +305,17 @@ def _meet(threshold: float):
     return run
 
 
-def missing_pairs(docs: DataFrame, groups: DataFrame, shingle_words: int, threshold: float) -> DataFrame:
-    """Distinct pairs (a < b) of ``groups`` (id, grp) in different groups; none that reaches the threshold is left out."""
+def missing_pairs(docs: DataFrame, groups: DataFrame, counts: np.ndarray, shingle_words: int, threshold: float) -> DataFrame:
+    """Distinct pairs (a < b) of ``groups`` (id, grp) in different groups; none that reaches the threshold is left out.
+
+    Every set sends about a fifth of its shingles, those with the smallest ``counts``.
+    """
     groups = written(groups, "groups")
-    common = _common(docs, groups.count(), shingle_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t or "", shingle_words) for t in b.column("text").to_pylist()]
-            first = [first_shingles(s, common, threshold).view(np.int64) for s in sets]
+            first = [first_shingles(s, counts, threshold).view(np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.list_(pa.int64()))], ["id", "n", "tokens"]
             )
@@ -377,7 +395,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: float =
     one is.  A null doc_id is its own class with a null component_id and is kept; it
     links nothing.  Extra columns are not read.  An empty table gives no rows.
     """
-    rows = written(sketches(docs, shingle_words), "sketches")
+    made = sketches(docs, shingle_words)
+    rows = made.filter("block is null")
+    counts = shingle_counts(made.filter("block is not null").select("block", "counts"))
     classes = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("signature").alias("signature"), F.max("sketch").alias("sketch")
     )
@@ -387,7 +407,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: float =
     found = written(connected_components(links), "first-components")
     reps = nodes.select(F.col("rep").alias("id")).distinct()
     groups = reps.join(found, "id", "left").select("id", F.coalesce("component", "id").alias("grp"))
-    more = written(missing_pairs(docs, groups, shingle_words, threshold), "more-pairs")
+    more = written(missing_pairs(docs, groups, counts, shingle_words, threshold), "more-pairs")
     more = written(confirmed(docs, more, shingle_words, threshold), "more-links")
     found = connected_components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
     named = nodes.select("h1", "h2", "rep").join(found, F.col("rep") == F.col("id"), "left")
