@@ -36,11 +36,11 @@ SAMPLE_ROWS, SPANS, SPAN_WORDS = 2400, 6, 12
 JOINED = 4
 #: Features that fewer training words have are left out; a word is in a lexicon if so many texts of the language hold it.
 LEAST_WORDS, LEXICON_TEXTS = 3, 2
-STEPS, RATE, DECAY = 60, 0.25, 1e-4
+STEPS, RATE, DECAY = 40, 0.25, 1e-4
 #: Longer runs of letters (scripts without spaces) are read as several words.
 WORD_LETTERS = 24
 #: Words whose feature scores a worker keeps.
-KEEP_WORDS = 200_000
+KEEP_WORDS = 400_000
 #: Words times squared languages that go through forward-backward together (some 200 MB).
 CHAIN_CELLS = 1 << 22
 _WORD = re.compile(r"[^\W\d_]{1,%d}" % WORD_LETTERS)
@@ -52,14 +52,18 @@ def words_of(text: str) -> list[str]:
     return found if any(c.isalpha() for w in found for c in w) else []
 
 
-def word_features(word: str, lexicons: dict[str, str] | None = None) -> list[str]:
+def word_features(word: str, lexicons: dict[str, str]) -> list[str]:
     """Affixes of 1 to 4 letters, bigrams and trigrams within the word, its length, and the lexicons that hold it."""
-    out = {f"^{word[:k]}" for k in range(1, 5)} | {f"{word[-k:]}$" for k in range(1, 5)}
-    out |= {word[i : i + k] for k in (2, 3) for i in range(len(word) - k + 1)}
-    out.add(f"length {min(len(word), 12)}")
-    if lexicons and word in lexicons:
-        out.add(f"lexicon {lexicons[word]}")
-    return sorted(out)
+    n = len(word)
+    out = [f"length {min(n, 12)}"]
+    for k in range(1, min(4, n) + 1):
+        out += ("^" + word[:k], word[n - k :] + "$")
+    out += [word[i : i + 2] for i in range(n - 1)]
+    out += [word[i : i + 3] for i in range(n - 2)]
+    held = lexicons.get(word)
+    if held:
+        out.append("lexicon " + held)
+    return out
 
 
 # ---- forward-backward
@@ -177,9 +181,20 @@ class LanguageModel:
         self.langs, self.features, self.lexicons = langs, features, lexicons
         self.weights, self.start, self.move = weights, start, move
 
-    def emission(self, word: str) -> np.ndarray:
-        known = [self.features[f] for f in word_features(word, self.lexicons) if f in self.features]
-        return self.weights[known].sum(axis=0)
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """(words, languages) sums of the weights of the known features of each word."""
+        out = np.zeros((len(words), len(self.langs)))
+        get = self.features.get
+        known: list[int] = []
+        ends = []
+        for w in words:
+            known += [i for i in map(get, word_features(w, self.lexicons)) if i is not None]
+            ends.append(len(known))
+        if known:
+            edges = np.array([0, *ends])
+            some = np.flatnonzero(np.diff(edges))
+            out[some] = np.add.reduceat(self.weights[known], edges[some])
+        return out
 
 
 def _lexicons(sample: list[tuple[str, list[list[str]]]]) -> dict[str, str]:
@@ -268,14 +283,12 @@ class WordScores:
     def __call__(self, words: list[str]) -> np.ndarray:
         if len(self.place) > self.most:
             self._clear()
-        new = set(words).difference(self.place)
+        new = list(set(words).difference(self.place))
         at = len(self.place)
         if at + len(new) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros((at + 2 * len(new), self.rows.shape[1]))])
-        for w in new:
-            self.rows[at] = self.model.emission(w)
-            self.place[w] = at
-            at += 1
+        self.rows[at : at + len(new)] = self.model.emissions(new)
+        self.place.update(zip(new, range(at, at + len(new))))
         return self.rows[np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))]
 
 
