@@ -193,29 +193,34 @@ def _reaching(index: DataFrame, queries: Queries, threshold: np.ndarray) -> Data
 
 
 def _exact(texts: DataFrame, candidates: DataFrame, queries: Queries, k: int, threshold: np.ndarray) -> DataFrame:
-    """query, doc_id and score of the candidates; in a task only while a bound can still reach the k best found."""
+    """query, doc_id and exact score of the k best candidates of every task.
+
+    A task scores a candidate only while its bound can still reach the k best it has found.
+    """
     flags = candidates.select("doc_id", "key", F.struct("query", "bound").alias("one")).groupBy("doc_id", "key").agg(F.collect_set("one").alias("asked"))
     flags = flags.select(F.col("doc_id").alias("id"), F.col("key").alias("same"), "asked")  # at most a block of queries each
     met = texts.join(flags, texts["doc_id"].eqNullSafe(F.col("id")) & (texts["key"] == F.col("same"))).select("doc_id", "text", "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, list[int]] = {}
+        best: dict[int, list[tuple]] = {}  # per query a heap of (score, -doc_id), the worst first; a null doc_id comes last
         for b in batches:
             ids, texts_, asked = (b.column(c).to_pylist() for c in ("doc_id", "text", "asked"))
             order = sorted(((o["bound"], at, o["query"]) for at, ones in enumerate(asked) for o in ones), reverse=True)
-            rows, own = [], {}
+            own: dict[int, tuple[Counter, int]] = {}
             for bound, at, q in order:  # descending bounds
                 kept = best.setdefault(q, [])
-                if bound < threshold[q] or (len(kept) == k and bound < kept[0]):
+                if bound < threshold[q] or (len(kept) == k and bound < kept[0][0]):
                     continue
                 if at not in own:
                     found = terms(texts_[at])
                     own[at] = Counter(found), len(found)
                 score = queries.score(*own[at], q)
                 if score > 0:
-                    (heapq.heappush if len(kept) < k else heapq.heappushpop)(kept, score)
-                    rows.append({"query": q, "doc_id": ids[at], "score": score})
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("query", pa.int32()), ("doc_id", pa.int64()), ("score", pa.int64())]))
+                    entry = (score, -math.inf if ids[at] is None else -ids[at])
+                    (heapq.heappush if len(kept) < k else heapq.heappushpop)(kept, entry)
+        rows = [(q, None if i == -math.inf else -i, score) for q, kept in best.items() for score, i in kept]
+        q, i, score = zip(*rows) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(i, pa.int64()), pa.array(score, pa.int64())], ["query", "doc_id", "score"])
 
     return arrow_map(met, run, "query int, doc_id long, score long")
 
