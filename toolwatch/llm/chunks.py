@@ -42,6 +42,25 @@ def cut(text: str) -> list[str]:
     return out
 
 
+def _surely_tight(strings: pa.LargeStringArray) -> np.ndarray:
+    """Which strings begin (behind a line break, if one begins the line) and end with a visible ASCII character."""
+    starts, data = np.frombuffer(strings.buffers()[1], dtype=np.int64)[: len(strings) + 1], strings.buffers()[2]
+    text = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+    first, end = starts[:-1].copy(), starts[1:]
+    out = np.zeros(len(strings), dtype=bool)
+    some = np.flatnonzero(end > first)
+    first[some] += text[first[some]] == 10
+    some = some[end[some] > first[some]]
+    a, z = text[first[some]], text[end[some] - 1]
+    out[some] = (a > 32) & (a < 127) & (z > 32) & (z < 127)
+    return out
+
+
+def stem(chunk: str) -> str:
+    """``chunk`` without a last comma or full stop after a letter: pieces end between the two, and most stems are known."""
+    return chunk[:-1] if chunk[-1:] in (",", ".") and chunk[-2:-1].isalpha() else chunk
+
+
 class ChunkCache:
     """Two generations of at most ``most`` chunks each.
 
@@ -86,12 +105,16 @@ class ChunkEncoder:
     """``encode_many``: list of chunks -> list of their ids as little-endian uint32 bytes.
 
     ``most`` bounds each generation of chunks kept between calls (some 200 bytes a
-    chunk).  ``words``: the vocabulary lower-cases and drops white space, so line breaks
+    chunk).  ``encode_tight``: the same for chunks without white space at their ends (but for
+    a space or a line break before).  ``words``: the vocabulary lower-cases and drops white space, so line breaks
     count as spaces and ASCII chunks are lower-cased first, to share their ids.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most: int = 250_000, words: bool = False):
-        self.encode_many = encode_many
+    def __init__(
+        self, encode_many: Callable[[list[str]], list[bytes]], most: int = 250_000, words: bool = False,
+        encode_tight: Callable[[list[str]], list[bytes]] | None = None,
+    ):
+        self.encode_many, self.encode_tight = encode_many, encode_tight
         self.words = words
         self.cache = ChunkCache(most)  # by the chunk without its leading space
 
@@ -118,23 +141,33 @@ class ChunkEncoder:
         if not self.words:
             # A first chunk is encoded as it stands; all others have a space before, if they don't begin a line.
             loose = np.zeros(len(distinct), dtype=bool)
-            loose[[i for i in missing if _loose(keys[i])]] = True
+            unsure = np.flatnonzero(~_surely_tight(named.dictionary)).tolist()
+            loose[[i for i in unsure if found[i] is None and _loose(keys[i])]] = True
             found_loose = loose[at]
             found_loose[firsts] = [bool(h) and _loose(h) for h in heads]
             special = np.flatnonzero(np.add.reduceat(found_loose, firsts, dtype=np.int64)).tolist()
             missing = [i for i in missing if not loose[i]]
-        wanted = dict.fromkeys(keys[i] for i in missing)
-        then = [k for k in wanted if k]
+        stems = {keys[i]: stem(keys[i]) for i in missing}
+        wanted = dict.fromkeys(stems.values())
+        known = dict(zip(wanted, self.cache.get(list(wanted))))
+        then = [k for k in wanted if k and known[k] is None]
         # Texts with runs of white space are cut with more care, and their chunks encoded as they stand.
         pieces = {i: cut(texts[i]) for i in special}
-        plain = list(dict.fromkeys([h for h in heads if h] + [c for own in pieces.values() for c in own if c]))
-        ids = self.encode_many(plain + [p if p[0] == "\n" else " " + p for p in then])
+        plain = list(dict.fromkeys([",", "."] + [h for h in heads if h] + [c for own in pieces.values() for c in own if c]))
+        spaced = [p if p[0] == "\n" else " " + p for p in then]
+        ids = self.encode_many(plain) + self.encode_tight(spaced) if self.encode_tight else self.encode_many(plain + spaced)
         whole = dict(zip(plain, ids), **{"": b""})
         fresh = dict(zip(then, ids[len(plain) :]), **{"": b""})
         for i in missing:
-            found[i] = fresh[keys[i]]
-            if keys[i]:
-                self.cache.put(keys[i], found[i], int(times[i]))
+            key = keys[i]
+            short = stems[key]
+            ids_ = known[short] if known[short] is not None else fresh[short]
+            if len(short) < len(key):
+                self.cache.put(short, ids_, int(times[i]))
+                ids_ += whole[key[-1]]
+            found[i] = ids_
+            if key:
+                self.cache.put(key, ids_, int(times[i]))
         self.cache.turn()
         raws = [x or b"" for x in found] + [whole[h] for h in heads]
         if heads:

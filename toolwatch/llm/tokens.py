@@ -41,33 +41,42 @@ class JoinedEncoder:
         return [array("I", e.ids).tobytes() for e in found]
 
     def __call__(self, strings: list[str]) -> list[bytes]:
-        if self.mark_id is None:
-            return self._one_by_one(strings)
-        out: list[bytes | None] = [None] * len(strings)
-        fit, body = [], []
-        broken = array("I", [self.mark_id]).tobytes()
+        """The ids of any strings."""
+        fit = []
         for i, s in enumerate(strings):
-            t = s[1:] if s[:1] == self.mark and not self.words else s  # a line break is an id of its own before a tight string
-            if self.mark not in t and (self.words or (_TIGHT.fullmatch(t) and (t is s or t[0] != " "))):
+            t = s[1:] if s[:1] == "\n" else s
+            if self.words or (_TIGHT.fullmatch(t) and "\n" not in t and (t is s or t[0] != " ")):
                 fit.append(i)
-                body.append(t)
-        for a in range(0, len(fit), 64 * _JOINED):
-            groups = [range(g, min(g + _JOINED, len(fit))) for g in range(a, min(a + 64 * _JOINED, len(fit)), _JOINED)]
-            made = self.tok.encode_batch_fast([self.sep.join(body[g.start : g.stop]) for g in groups], add_special_tokens=False)
-            for g, e in zip(groups, made):
-                ids = np.array(e.ids, dtype="<u4")
-                ends = np.flatnonzero(ids == self.mark_id).tolist()
-                if len(ends) != len(g) - 1:
-                    continue
-                raw = ids.tobytes()
-                for k, x, y in zip(g, [0, *(4 * e + 4 for e in ends)], [*(4 * e for e in ends), len(raw)]):
-                    i = fit[k]
-                    out[i] = raw[x:y] if body[k] is strings[i] else broken + raw[x:y]
+        out: list[bytes | None] = [None] * len(strings)
+        for i, x in zip(fit, self.tight([strings[i] for i in fit])):
+            out[i] = x
         alone = [i for i, x in enumerate(out) if x is None]
         for i, x in zip(alone, self._one_by_one([strings[i] for i in alone])):
             out[i] = x
         return out
 
+    def tight(self, strings: list[str]) -> list[bytes]:
+        """The ids of strings with no white space at their ends but one space or line break before, and no line break within."""
+        if self.mark_id is None:
+            return self._one_by_one(strings)
+        out: list[bytes] = []
+        # A line break is an id of its own before what follows it.
+        broken = b"" if self.words else array("I", [self.mark_id]).tobytes()
+        for a in range(0, len(strings), 64 * _JOINED):
+            groups = [strings[g : g + _JOINED] for g in range(a, min(a + 64 * _JOINED, len(strings)), _JOINED)]
+            joined = [self.sep.join(group) for group in groups]
+            if not self.words:
+                joined = [j.replace("\n\n", "\n").removeprefix("\n") for j in joined]
+            for group, e in zip(groups, self.tok.encode_batch_fast(joined, add_special_tokens=False)):
+                ids = np.array(e.ids, dtype="<u4")
+                ends = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+                if len(ends) != len(group) - 1:  # a string holds the separator
+                    out += self._one_by_one(group)
+                    continue
+                raw = ids.tobytes()
+                out += [broken + raw[x:y] if s[0] == "\n" else raw[x:y] for s, x, y in zip(group, [0, *[e + 4 for e in ends]], [*ends, len(raw)])]
+        return out
+
 
 @lru_cache(maxsize=4)
 def library_encoder(vocab_file: str) -> ChunkEncoder:
@@ -82,7 +91,8 @@ def library_encoder(vocab_file: str) -> ChunkEncoder:
     tok = Tokenizer.from_file(vocab_file)
     tok.encode_special_tokens = True
     words = "Lowercase" in str(tok.normalizer)
-    return ChunkEncoder(JoinedEncoder(tok, words), words=words)
+    many = JoinedEncoder(tok, words)
+    return ChunkEncoder(many, words=words, encode_tight=many.tight)
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
