@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from test_filters import slow_lines, slow_measure
 from test_spread import slow_classes
 from tokenizers import Tokenizer
@@ -13,6 +14,8 @@ import corpus_pipeline as C
 import public_tokenizers as P
 from toolwatch.llm import queries as Q
 from toolwatch.llm.common import written
+from toolwatch.llm.line_dedup import line_dedup
+from toolwatch.llm.quality_rules import quality_rules
 from toolwatch.llm.toxicity import features, train_severity
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -104,8 +107,28 @@ def test_stages_on_no_documents(spark, corpus):
 
 
 def test_queries_are_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     have = E.queries()
     assert "pipeline" in have
     assert all(sum(k.startswith(n) for k in have) == 1 for n in names)
     assert set(Q.ORACLE_SQL) <= set(E.oracle_sql()) and C.ORACLE_SQL is None
+
+
+def test_columns_named_like_those_of_the_operators_come_back(spark, corpus):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    own = {"grade": 7, "p_toxic": "x", "kept": "mine", "n_words": 777, "held": True, "rejected": 3, "n_lines": "l", "n_dropped": 1.5,
+           "__host": "h", "__id": 5, "__lines": "z", "__drop": 2, "__version": 9, "component_id": 4, "a.b": 1, "host_rejected": 8}
+    odd = docs.select("*", *[F.lit(v).alias(k) for k, v in own.items()])
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, odd, corpus)
+        assert out.columns == odd.columns and [f.dataType for f in out.schema] == [f.dataType for f in odd.schema], name
+        plain = stage(spark, docs, corpus)
+        assert Counter(map(tuple, out.select(docs.columns).collect())) == Counter(map(tuple, plain.collect())), name
+        assert all(r[k] == v for r in out.collect() for k, v in own.items()), name
+
+
+def test_operators_take_any_column_names(spark):
+    docs = spark.createDataFrame([(i, "one long line of text\n" + f"line number {i} here", "s", 1, 2, 3) for i in range(4)], "doc_id long, text string, source string, __host int, __id int, __lines int")
+    assert quality_rules(docs).count() == 4
+    out = line_dedup(docs).collect()
+    assert [r.n_dropped for r in sorted(out, key=lambda r: r.doc_id)] == [0, 1, 1, 1] and all(r["__id"] == 2 and r["__lines"] == 3 for r in out)

@@ -66,19 +66,43 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Ids up to which ``by_ids`` broadcasts them: 8 MB of numbers, some 40 MB as a hash table.
-BROADCAST_IDS = 1_000_000
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and backquotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def by_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Semi or anti join of ``rows`` with one column of distinct numbers that has the same name in both.
 
-    The ids are written and counted; few enough are broadcast, so that the texts stay
-    where they are, and any more meet the rows in a shuffle.
+    The ids are written first, so that Spark knows their bytes: few are broadcast and the
+    texts stay where they are, more meet the rows in a shuffle.
     """
     (name,) = ids.columns
-    ids = written(ids, "ids")
-    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, name, how).select(rows.columns)
+    return rows.join(written(ids, "ids"), name, how).select(*map(named, rows.columns))
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, made longer until no column has it (column names differ by more than their case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+_HELD = "held"
+
+
+def held(docs: DataFrame, plain: list[str]) -> DataFrame:
+    """``docs`` with the columns ``plain`` as they are and all others out of the way in one struct, ``held``."""
+    plain = [c for c in plain if c in docs.columns]
+    others = [c for c in docs.columns if c not in plain]
+    rest = F.struct(*map(named, others)) if others else F.lit(None).cast("int")
+    return docs.select(*map(named, plain), rest.alias(_HELD))
+
+
+def released(rows: DataFrame, docs: DataFrame, plain: list[str]) -> DataFrame:
+    """The columns of ``docs`` again, in their order, from rows that came from ``held``."""
+    return rows.select(*[F.col(c) if c in plain else F.col(_HELD)[c].alias(c) for c in docs.columns])
 
 
 def with_rank(df: DataFrame, keys: list[str], order: list[Column], bucket: Column, out: str, first: int = 0) -> DataFrame:

@@ -13,7 +13,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from toolwatch.llm.common import SPACES, written
+from toolwatch.llm.common import SPACES, fresh, written
 
 
 def normalised(line: Column) -> Column:
@@ -44,6 +44,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> DataF
     doc_id is returned whole and holds no line against others.  An empty table stays
     empty.
     """
+    its_id, its_version, its_drop, its_lines = (fresh(n, docs.columns) for n in ("__id", "__version", "__drop", "__lines"))
     lines = _lines(docs, min_chars)
     if min_docs <= 2:
         # Two documents or more: the smallest and the greatest id differ.
@@ -56,17 +57,17 @@ def line_dedup(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> DataF
     drop = (
         lines.join(shared, ["h1", "h2"])
         .filter("id > first")
-        .groupBy(F.col("id").alias("__id"), F.col("version").alias("__version"))
-        .agg(F.collect_set("pos").alias("__drop"))
+        .groupBy(F.col("id").alias(its_id), F.col("version").alias(its_version))
+        .agg(F.collect_set("pos").alias(its_drop))
     )
     text = F.coalesce(docs["text"], F.lit(""))
-    rows = docs.withColumn("text", text).withColumn("__lines", F.split("text", "\n"))
-    out = rows.join(drop, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__version")), "left")
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__drop"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("__lines"), i)), "\n")
+    rows = docs.withColumn("text", text).withColumn(its_lines, F.split("text", "\n"))
+    out = rows.join(drop, (F.col("doc_id") == F.col(its_id)) & (F.xxhash64("text") == F.col(its_version)), "left")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(its_lines) - 1), F.col(its_drop))
+    kept = F.array_join(F.transform(stay, lambda i: F.get(F.col(its_lines), i)), "\n")
     return (
-        out.withColumn("n_lines", F.size("__lines").cast("long"))
-        .withColumn("n_dropped", F.coalesce(F.size("__drop"), F.lit(0)).cast("long"))
-        .withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept))
-        .drop("__id", "__version", "__drop", "__lines")
+        out.withColumn("n_lines", F.size(its_lines).cast("long"))
+        .withColumn("n_dropped", F.coalesce(F.size(its_drop), F.lit(0)).cast("long"))
+        .withColumn("text", F.when(F.col(its_drop).isNull(), F.col("text")).otherwise(kept))
+        .drop(its_id, its_version, its_drop, its_lines)
     )

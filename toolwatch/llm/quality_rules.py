@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from toolwatch.llm.common import SPACES, arrow_map, written
+from toolwatch.llm.common import SPACES, arrow_map, fresh, written
 
 #: The characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -61,6 +61,9 @@ def measure(text: str) -> tuple[int, int, int, int, int]:
     return n, word_chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeat
 
 
+_HOST = "host of verdict"
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """``docs`` with the measures of ``text`` added (null: no words); columns of those names are replaced."""
     carried = docs.select([c for c in docs.columns if c not in MEASURES])
@@ -97,7 +100,7 @@ def host_verdicts(rows: DataFrame, host: str, limits: Limits) -> DataFrame:
     hosts' rates (less what chance adds); a host with few documents stays near the mean.
     """
     fails = rules(limits)
-    by_host = rows.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("__host")).agg(
+    by_host = rows.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias(_HOST)).agg(
         F.count(F.lit(1)).alias("n_host_docs"), *[F.sum(c.cast("long")).alias(k) for k, c in fails.items()]
     )
     counted = written(by_host, "host-counts")
@@ -114,7 +117,7 @@ def host_verdicts(rows: DataFrame, host: str, limits: Limits) -> DataFrame:
         strength = F.least(F.greatest(m * (1 - m) / F.greatest(v - chance, F.lit(1e-9)) - 1, F.lit(2.0)), F.lit(1e4))
         shrunk.append((F.col(k) + strength * m) / (n + strength))
     # One row of means and variances meets every host.
-    return counted.join(F.broadcast(prior)).select("__host", "n_host_docs", F.greatest(*shrunk).alias("host_fail_rate")).withColumn(
+    return counted.join(F.broadcast(prior)).select(_HOST, "n_host_docs", F.greatest(*shrunk).alias("host_fail_rate")).withColumn(
         "host_rejected", F.col("host_fail_rate") > limits.host_rate
     )
 
@@ -133,10 +136,11 @@ def quality_rules(docs: DataFrame, host: str = "source", limits: Limits = Limits
     slim = docs.select([c for c in docs.columns if c in {*carry, host, "text"}])
     rows = measured(slim).select(*dict.fromkeys([*carry, host]), *MEASURES)
     rows = written(rows, "rule-measures")  # read twice; texts are measured once
-    hosts = written(host_verdicts(rows, host, limits), "host-verdicts")
+    own = fresh(_HOST, rows.columns)
+    hosts = written(host_verdicts(rows, host, limits).withColumnRenamed(_HOST, own), "host-verdicts")
     fails = rules(limits)
     return (
-        rows.join(hosts, rows[host] == hosts["__host"], "left")
+        rows.join(hosts, rows[host] == hosts[own], "left")
         .withColumn("base_failed", fails["few_words"] | fails["repeats"])
         .withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False)))
         .withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
