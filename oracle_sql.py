@@ -359,7 +359,17 @@ def queries_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["site_week_kpis"] = rounded(f"WITH {EV},{SITE_FACT} SELECT * FROM site", SITE_DOUBLES)
     # End-to-end runs: pipeline and stream must reproduce the site fact exactly.
-    q["pipeline_site_week"] = q["pipeline_recovery"] = q["pipeline_partial_week"] = q["stream_site_week"] = q["site_week_kpis"]
+    q["pipeline_site_week"] = q["pipeline_recovery"] = q["stream_site_week"] = q["stream_recovery"] = q["site_week_kpis"]
+    # Without the columns that depend on the chronic tools of the run that built a week.
+    lasting = rounded(
+        f"WITH {EV},{SITE_FACT} SELECT * EXCLUDE (chronic_tools_count, chronic_tools_pct) FROM site",
+        tuple(c for c in SITE_DOUBLES if c != "chronic_tools_pct"),
+    )
+    q["pipeline_partial_week"] = q["pipeline_corrected_file"] = lasting
+    q["csv_roundtrip"] = rounded(
+        f"WITH {EV} SELECT entity, facility, ceid, part_name, work_week, downtime_type, down_hours, actual_life, target_life FROM ev",
+        ("down_hours", "actual_life", "target_life"),
+    )
     q["ceid_week_kpis"] = rounded(f"WITH {EV},{CEID_FACT} SELECT * FROM ceidf", CEID_DOUBLES)
     q["part_week_summary"] = rounded(f"WITH {EV},{PART} SELECT * FROM partf", PART_DOUBLES)
     q["downtime_summary"] = rounded(
@@ -411,6 +421,7 @@ SELECT *, (SELECT min(CAST(event_ts AS DATE)) FROM ev) AS analysis_start_date,
 FROM scored""",
         TOOL_DOUBLES,
     )
+    q["pipeline_chronic"] = q["chronic_tools"]
     q["chronic_current"] = rounded(
         f"""WITH {EV},{_tool_scored("entity, facility, ceid, ww_year", name="snap")},
 snapd AS (SELECT *, {FY_END('ww_year')} AS calculation_date FROM snap)

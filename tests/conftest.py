@@ -19,6 +19,7 @@ def spark():
     s = (
         SparkSession.builder.master("local[4]")
         .appName("toolwatch-tests")
+        .config("spark.driver.memory", "6g")  # all tests share this one JVM; the default of 1 GB is too little for the whole run
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

@@ -8,12 +8,12 @@ and a hot tool costs one partial buffer per task, never a gathered group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from toolwatch.functions import calendar as cal
 from toolwatch.functions import classify as cls
-from toolwatch.functions.agg import exact_sum0
+from toolwatch.functions.agg import EXACT, MOST, exact_sum0
 from toolwatch.operators.joins import scalar
 from toolwatch.rules import DEFAULT_RULES, Rules
 
@@ -42,6 +42,80 @@ def tool_metrics(enriched: DataFrame, keys=TOOL_KEYS) -> DataFrame:
     )
 
 
+WEEK_KEYS = ("ww_year", "ww_number")
+
+
+def tool_week_partials(enriched: DataFrame, keys=TOOL_KEYS) -> DataFrame:
+    """One row per tool and week that can be added up to the tool's metrics over any weeks.
+
+    Counts and exact sums add; a spread is kept as number, mean and sum of squared
+    differences from the mean, which merge without cancellation.  Rows without a tool or a
+    week have rows of their own, so that the first and last dates are those of all events.
+    """
+    v = F.nanvl(F.col("down_hours").cast("double"), F.lit(None).cast("double"))
+    small = F.abs(v) < MOST
+    day = F.to_date("event_ts")
+    return enriched.groupBy(*keys, *WEEK_KEYS).agg(
+        F.max(F.struct("event_ts", "process_class")).alias("last"),
+        F.count(F.lit(1)).alias("events"),
+        F.sum(F.when(F.col("scheduled_flag") == 0, 1).otherwise(0)).cast("long").alias("unscheduled"),
+        F.sum(F.when(small, v).cast(EXACT)).alias("hours"),
+        F.sum(F.when(~small, v)).alias("hours_beyond"),
+        F.count("actual_life").alias("life_n"),
+        F.avg("actual_life").alias("life_mean"),
+        (F.var_pop("actual_life") * F.count("actual_life")).alias("life_m2"),
+        *[f(c).alias(f"{c}_{n}") for c in ("reclean", "sympathy") for n, f in (("n", F.count), ("sum", F.sum))],
+        F.min(day).alias("first_date"),
+        F.max(day).alias("last_date"),
+    )
+
+
+def _merged_spread(parts: Column) -> Column:
+    """(n, mean, m2) of an array of such parts, added in the order of their weeks."""
+
+    def add(a: Column, x: Column) -> Column:
+        n = a["n"] + x["life_n"]
+        d = x["life_mean"] - a["mean"]
+        mean = a["mean"] + d * x["life_n"] / n
+        return F.struct(n.alias("n"), mean.alias("mean"), (a["m2"] + x["life_m2"] + d * d * a["n"] * x["life_n"] / n).alias("m2"))
+
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(F.array_sort(parts), none, add)
+
+
+def merged_metrics(partials: DataFrame, keys=TOOL_KEYS) -> DataFrame:
+    """``tool_metrics`` of the events behind the partials: a row per week and tool is read, no event.
+
+    The parts of a tool's spread are gathered, one for each week it was active in.
+    """
+    part = F.struct(*WEEK_KEYS, "life_n", "life_mean", "life_m2")
+    whole = _not_null(partials, keys).groupBy(*keys).agg(
+        F.max("last").alias("last"),
+        F.sum("events").alias("total_pm_events"),
+        F.sum("unscheduled").alias("unscheduled_pm_count"),
+        F.sum("hours").cast("double").alias("hours"),
+        F.sum("hours_beyond").alias("hours_beyond"),
+        _merged_spread(F.collect_list(F.when(F.col("life_n") > 0, part))).alias("life"),
+        *[F.try_divide(F.sum(f"{c}_sum"), F.sum(f"{c}_n")).cast("double").alias(f"{c}_rate") for c in ("reclean", "sympathy")],
+    )
+    return whole.select(
+        *keys,
+        F.col("last.process_class").alias("process_class"),
+        "total_pm_events",
+        "unscheduled_pm_count",
+        F.coalesce(F.col("hours") + F.col("hours_beyond"), "hours", "hours_beyond", F.lit(0.0)).alias("total_downtime_hours"),
+        F.when(F.col("life.n") > 1, F.sqrt(F.col("life.m2") / (F.col("life.n") - 1))).alias("life_stddev"),
+        F.when(F.col("life.n") > 0, F.col("life.mean")).alias("avg_pm_life"),
+        "reclean_rate",
+        F.col("sympathy_rate").alias("sympathy_pm_rate"),
+    )
+
+
+def chronic_from_partials(partials: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """``chronic_tools`` with the analysis period, from stored partials."""
+    return _with_period(score_tools(merged_metrics(partials), rules), partials, F.col("first_date"), F.col("last_date"))
+
+
 def score_tools(metrics: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     m = metrics.withColumns(
         {
@@ -70,7 +144,11 @@ def with_analysis_period(chronic: DataFrame, enriched: DataFrame) -> DataFrame:
     Both dates come from one scalar subquery over the events (a one-row job),
     not a join, so the chronic table keeps its partitioning.
     """
-    period = scalar(enriched, F.struct(F.min(F.to_date("event_ts")).alias("lo"), F.max(F.to_date("event_ts")).alias("hi")))
+    return _with_period(chronic, enriched, F.to_date("event_ts"), F.to_date("event_ts"))
+
+
+def _with_period(chronic: DataFrame, rows: DataFrame, first: Column, last: Column) -> DataFrame:
+    period = scalar(rows, F.struct(F.min(first).alias("lo"), F.max(last).alias("hi")))
     # Attach the subquery once and derive from the column: each textual use of
     # a scalar subquery would otherwise be planned (and run) separately.
     start, end = F.col("_period.lo"), F.col("_period.hi")
@@ -104,9 +182,6 @@ def chronic_current(snapshots: DataFrame) -> DataFrame:
     return snapshots.filter((F.col("calculation_date") == latest) & (F.col("chronic_flag") == 1))
 
 
-WEEK_KEYS = ("ww_year", "ww_number")
-
-
 def weekly_scores(enriched: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """One scored row per tool and week."""
     return score_tools(tool_metrics(enriched, (*TOOL_KEYS, *WEEK_KEYS, "work_week")), rules)
@@ -138,25 +213,27 @@ def chronic_weekly(enriched: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
 def chronic_weekly_update(scores: DataFrame, stored: DataFrame, weeks: list[tuple[int, int]]) -> tuple[DataFrame, list[tuple[int, int]]]:
     """Rows of every week of a stored history that new ``scores`` of ``weeks`` change, and those weeks.
 
-    A rebuilt week changes itself and, for each of its tools, the next week the tool
+    A rebuilt week changes itself and, for each tool it has or had, the next week the tool
     was active in.  Of the stored rows only those tools' are compared; other tools'
     rows of a next week are carried over.  The result is all rows of the weeks returned,
-    equal to what a run over the whole history gives.
+    equal to what a run over the whole history gives; a week without rows is to be emptied.
     """
     if not weeks:
         return with_changes(scores.limit(0)), []
     columns = scores.columns
+    keys = [*TOOL_KEYS, *WEEK_KEYS]
     in_weeks = F.struct(*[F.col(k).cast("int") for k in WEEK_KEYS]).isin([F.struct(F.lit(int(y)), F.lit(int(w))) for y, w in weeks])
-    others = stored.filter(~in_weeks)
-    tools = scores.select(*TOOL_KEYS).distinct()
+    others, before = stored.filter(~in_weeks), stored.filter(in_weeks)
+    places = scores.select(keys).union(before.select(keys)).distinct()
+    tools = places.select(*TOOL_KEYS).distinct()
     own = others.join(tools, list(TOOL_KEYS), "left_semi").select(columns)
     win = Window.partitionBy(*TOOL_KEYS).orderBy(*WEEK_KEYS)
-    changed = with_changes(scores.unionByName(own)).withColumn("_prev", F.lag(in_weeks).over(win)).withColumn("_new", in_weeks)
-    after = changed.filter(F.col("_prev") & ~F.col("_new")).select(*WEEK_KEYS).distinct()
+    follows = places.union(own.select(keys)).withColumn("_prev", F.lag(in_weeks).over(win))
+    after = follows.filter(F.col("_prev") & ~in_weeks).select(*WEEK_KEYS).distinct()
     next_weeks = [(r.ww_year, r.ww_number) for r in after.collect()]  # bounded by the calendar
     touched = sorted({(int(y), int(w)) for y, w in [*weeks, *next_weeks]})
     in_touched = F.struct(*[F.col(k).cast("int") for k in WEEK_KEYS]).isin([F.struct(F.lit(y), F.lit(w)) for y, w in touched])
-    rows = changed.filter(in_touched).drop("_prev", "_new")
+    rows = with_changes(scores.unionByName(own)).filter(in_touched)
     carried = others.filter(in_touched).join(tools, list(TOOL_KEYS), "left_anti").select(rows.columns)
     return rows.unionByName(carried), touched
 

@@ -478,16 +478,76 @@ def q_pipeline_recovery(spark, d):
     return finish(spark.read.parquet(layout.site).select(*SITE_OUTPUT))
 
 
+#: The site fact without what depends on the chronic tools of the run that built a week.
+LASTING_SITE_OUTPUT = tuple(c for c in SITE_OUTPUT if c not in ("chronic_tools_count", "chronic_tools_pct"))
+
+
 def q_pipeline_partial_week(spark, d):
-    """Half of each week's tools arrive after gold has built the weeks; gold builds what silver reports."""
+    """Half of each week's tools arrive after gold has built the weeks; the site fact as the incremental runs leave it."""
     jobs, layout, load = _ingested(spark, d, "partial", parts=2)
     for k in (0, 1):
         load(k)
         s = jobs.silver(spark, layout, as_of=PIPELINE_AS_OF + _dt.timedelta(days=k))
         jobs.gold(spark, layout, as_of=PIPELINE_AS_OF + _dt.timedelta(days=k), weeks=s["weeks"])
-    # The chronic tools are those of the second run, for the weeks of the first too.
-    jobs.gold(spark, layout, as_of=PIPELINE_AS_OF + _dt.timedelta(days=2), facts=("site",))
-    return finish(spark.read.parquet(layout.site).select(*SITE_OUTPUT))
+    return finish(spark.read.parquet(layout.site).select(*LASTING_SITE_OUTPUT))
+
+
+def q_pipeline_chronic(spark, d):
+    """The chronic snapshot after two loads, the second scored from the stored partials of tools and weeks."""
+    jobs, layout, load = _ingested(spark, d, "chronic", parts=2)
+    for k in (0, 1):
+        load(k)
+        jobs.silver(spark, layout, as_of=PIPELINE_AS_OF + _dt.timedelta(days=k), build_summary=False)
+    snapshots = spark.read.parquet(layout.chronic)
+    latest = snapshots.filter(F.col("snapshot") == f"s{PIPELINE_AS_OF + _dt.timedelta(days=1):%Y%m%dT%H%M%S}")
+    return finish(latest.drop("snapshot", "calculation_ts"))
+
+
+def _deliver_anew(spark, old_root, new_root):
+    """Replace each week's files under ``old_root`` by those under ``new_root``, under the old names."""
+    from toolwatch.sources import files
+
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    by_week: dict[str, tuple[list, list]] = {}
+    for k, root in enumerate((old_root, new_root)):
+        for r in files.list_week_files(spark, root).select("work_week", "path").collect():  # a row per file
+            by_week.setdefault(r.work_week, ([], []))[k].append(r.path)
+    for old, new in by_week.values():
+        old, new = sorted(old), sorted(new)
+        if len(old) > len(new) > 0:
+            raise ValueError(f"{len(new)} files cannot take the place of {len(old)}")
+        for i, source in enumerate(map(path, new)):
+            target = path(old[i]) if i < len(old) else path(path(old[0]).getParent(), source.getName())
+            fs = source.getFileSystem(conf)
+            jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, target, False, True, conf)
+
+
+def q_pipeline_corrected_file(spark, d):
+    """A third of the weeks is first delivered wrong (rows missing, hours and sites altered), then again under the same names."""
+    from toolwatch.plans import jobs
+    from toolwatch.sources import files
+
+    run = _scratch(spark, "corrected")
+    layout, dim = jobs.Layout(f"{run}/warehouse"), testbed.class_dimension(spark, d)
+    right = testbed.pm_events(spark, d)
+    affected = F.pmod(F.xxhash64("work_week"), F.lit(3)) == 0
+    kind = F.pmod(F.xxhash64("entity"), F.lit(4))
+    wrong = right.filter(~(affected & (kind == 0))).withColumns(
+        {"down_hours": F.when(affected, F.col("down_hours") * 10).otherwise(F.col("down_hours")),
+         "facility": F.when(affected & (kind == 1), F.concat(F.lit("X"), "facility")).otherwise(F.col("facility"))}
+    )
+    testbed.render_weekly_files(wrong, f"{run}/source")
+    testbed.render_weekly_files(right.filter(affected), f"{run}/corrected")
+    for k in (0, 1):
+        if k:
+            _deliver_anew(spark, f"{run}/source", f"{run}/corrected")
+        at = PIPELINE_AS_OF + _dt.timedelta(days=k)
+        paths = [r.path for r in files.list_week_files(spark, f"{run}/source").select("path").collect()]
+        found = jobs.changed_files(spark, paths, layout)
+        jobs.ingest_files(spark, [p for p, _, _ in found], layout, class_dim=dim, as_of=at, identities=found)
+        jobs.gold(spark, layout, as_of=at, weeks=jobs.silver(spark, layout, as_of=at)["weeks"])
+    return finish(spark.read.parquet(layout.site).select(*LASTING_SITE_OUTPUT))
 
 
 def q_pipeline_history(spark, d):
@@ -517,6 +577,55 @@ def q_stream_site_week(spark, d):
     return finish(spark.read.parquet(f"{run}/site").select(*SITE_OUTPUT))
 
 
+def q_stream_recovery(spark, d):
+    """A stream of files that is lost after the rows of its second epoch are written, and is started again; the site fact."""
+    from pyspark.errors import StreamingQueryException
+
+    from toolwatch.plans import jobs
+    from toolwatch.streaming import incremental
+
+    run = _scratch(spark, "recovery")
+    layout = jobs.Layout(f"{run}/warehouse")
+    events = testbed.pm_events(spark, d)
+    testbed.render_weekly_files(events, f"{run}/source")
+    weeks = events.select("work_week").distinct().count()
+    epochs: list[int] = []
+
+    def lost() -> None:
+        epochs.append(1)
+        if len(epochs) == 2:
+            raise RuntimeError("lost between write and commit")
+
+    def start() -> None:
+        incremental.ingest_files_stream(
+            spark, f"{run}/source", layout, f"{run}/_ckpt/files", PIPELINE_AS_OF, class_dim=testbed.class_dimension(spark, d),
+            max_files_per_trigger=max(1, -(-weeks // 3)), before_commit=lost,
+        ).awaitTermination()
+
+    try:
+        start()
+    except StreamingQueryException:
+        start()
+    s = jobs.silver(spark, layout, as_of=PIPELINE_AS_OF)
+    jobs.gold(spark, layout, as_of=PIPELINE_AS_OF, weeks=s["weeks"])
+    return finish(spark.read.parquet(layout.site).select(*SITE_OUTPUT))
+
+
+def q_csv_roundtrip(spark, d):
+    """The events rendered as weekly files and read back through the file contract."""
+    from toolwatch.sources import files
+
+    run = _scratch(spark, "roundtrip")
+    testbed.render_weekly_files(testbed.pm_events(spark, d), f"{run}/source")
+    paths = [r.path for r in files.list_week_files(spark, f"{run}/source").select("path").collect()]
+    raw = files.add_load_metadata(files.rename_special(files.read_event_csv(spark, paths)), PIPELINE_AS_OF)
+    back = files.to_events(files.coerce_raw(raw))
+    return finish(back.select(*ROUNDTRIP_OUTPUT))
+
+
+ROUNDTRIP_OUTPUT = ("entity", "facility", "ceid", "part_name", "work_week", "downtime_type", "down_hours", "actual_life", "target_life")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "site_week_kpis": q_site_week_kpis,
     "ceid_week_kpis": q_ceid_week_kpis,
@@ -576,6 +685,10 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_recovery": q_pipeline_recovery,
     "pipeline_partial_week": q_pipeline_partial_week,
     "pipeline_history": q_pipeline_history,
+    "pipeline_chronic": q_pipeline_chronic,
+    "pipeline_corrected_file": q_pipeline_corrected_file,
+    "stream_recovery": q_stream_recovery,
+    "csv_roundtrip": q_csv_roundtrip,
     "pipeline_site_week": q_pipeline_site_week,
     "stream_site_week": q_stream_site_week,
 }

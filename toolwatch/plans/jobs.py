@@ -14,6 +14,7 @@ import datetime as _dt
 import logging
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -52,9 +53,11 @@ class Layout:
     raw = property(lambda s: s._p("raw_events"))
     load_log = property(lambda s: s._p("load_log"))
     loads = property(lambda s: s._p("loads"))
+    load_files = property(lambda s: s._p("load_files"))
     pending = property(lambda s: s._p("pending_weeks"))
     enriched = property(lambda s: s._p("enriched_events"))
     summary = property(lambda s: s._p("downtime_summary"))
+    tool_weeks = property(lambda s: s._p("tool_week_partials"))
     chronic = property(lambda s: s._p("chronic_tools"))
     date_dim = property(lambda s: s._p("dim_date"))
     site = property(lambda s: s._p("fact_site_week"))
@@ -63,6 +66,11 @@ class Layout:
     part = property(lambda s: s._p("fact_part_week"))
     history = property(lambda s: s._p("fact_chronic_history"))
 
+    def finish(self, spark: SparkSession) -> None:
+        """Complete replacements of tables that an earlier run has left half done."""
+        for path in (self.enriched, self.summary, self.tool_weeks, self.chronic, self.site, self.site_rolled, self.ceid, self.part, self.history):
+            sinks.finish(spark, path)
+
 
 # ---------------------------------------------------------------- bronze
 
@@ -82,7 +90,8 @@ def bronze(
 
     Every non-empty file of the week (default: of the newest week that has one) is
     taken.  Files already in the raw table through a completed load are left out, so
-    rerunning the job does not duplicate rows; a file whose load died is loaded again.
+    rerunning the job does not duplicate rows; a file whose load died is loaded again, and
+    one delivered anew under its old name takes the place of what was loaded before.
     A failure is logged and raised.
     """
     t0 = time.perf_counter()
@@ -99,17 +108,14 @@ def bronze(
             paths = files.find_files_for_week(spark, source_root, work_week)
         else:
             paths, week = files.find_latest_files(spark, source_root, max_weeks_back=max_weeks_back)
-        done: set[str] = set()
-        if sinks.table_exists(spark, layout.raw):
-            raw = _committed_rows(spark, layout).filter((F.col("source_week") == week) & F.col("source_file").isin(paths))
-            done = {r.source_file for r in raw.select("source_file").distinct().collect()}
-        new = [p for p in paths if p not in done]
+        found = changed_files(spark, paths, layout)
+        new = [p for p, n, t in found]
         for p in paths:
-            if p in done:
+            if p not in new:
                 logged(p, week, 0, "SKIPPED")
         if not new:
             return {"status": "SKIPPED", "file": paths[0], "files": paths, "work_week": week, "rows_loaded": 0}
-        stats = ingest_files(spark, new, layout, week, class_dim, as_of, validate, rules)
+        stats = ingest_files(spark, new, layout, week, class_dim, as_of, validate, rules, identities=found)
     except Exception as e:
         logged(paths[0] if paths else None, week, 0, "FAILED", str(e)[:2000])
         raise
@@ -118,12 +124,50 @@ def bronze(
     return {"status": "SUCCESS", "file": new[0], "files": new, "work_week": week, **stats}
 
 
+def changed_files(spark: SparkSession, paths: list[str], layout: Layout) -> list[tuple[str, int, _dt.datetime]]:
+    """(path, length, modification time) of the files that no completed load holds in this version.
+
+    A file loaded before versions were noted counts as loaded.
+    """
+    found = files.identities(spark, paths)
+    committed = sinks.committed_loads(spark, layout.loads, "RAW")
+    versions = sinks.file_versions(spark, layout.load_files, committed)
+    held = {}
+    if versions is not None:
+        rows = versions.filter("current").filter(F.col("path").isin(paths)).collect()
+        held = {r.path: (r.length, r.modified) for r in rows}
+    unknown = [p for p, _, _ in found if p not in held]
+    if unknown and sinks.table_exists(spark, layout.raw):
+        rows = _committed_rows(spark, layout).filter(F.col("source_file").isin(unknown))
+        noted = {p: (n, t) for p, n, t in found}
+        held |= {r.source_file: noted[r.source_file] for r in rows.select("source_file").distinct().collect()}
+    return [(p, n, t) for p, n, t in found if held.get(p) != (n, t)]
+
+
 def _committed_rows(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Raw rows of completed loads (all rows, of a table written before loads had ids)."""
+    """Raw rows of completed loads, without those of files that a later load holds in another version.
+
+    All rows, of a table written before loads had ids.
+    """
     raw = spark.read.parquet(layout.raw)
     if "load_id" not in raw.columns:
         return raw
-    return raw.filter(F.col("load_id").isin(sorted(sinks.committed_loads(spark, layout.loads, "RAW"))))
+    committed = sinks.committed_loads(spark, layout.loads, "RAW")
+    raw = raw.filter(F.col("load_id").isin(sorted(committed)))
+    versions = sinks.file_versions(spark, layout.load_files, committed)
+    if versions is None:
+        return raw
+    old = versions.filter(~F.col("current")).select(F.col("path").alias("source_file"), "load_id")
+    return raw.join(old, ["source_file", "load_id"], "left_anti")
+
+
+def _retired(spark: SparkSession, layout: Layout, loads: set[str]) -> list[tuple[str, str]]:
+    """(path, load) of the versions that files of these loads take the place of: as many as files were corrected."""
+    versions = sinks.file_versions(spark, layout.load_files, sinks.committed_loads(spark, layout.loads, "RAW"))
+    if versions is None:
+        return []
+    own = versions.filter("current").filter(F.col("load_id").isin(sorted(loads))).select("path")
+    return sorted((r.path, r.load_id) for r in versions.filter(~F.col("current")).join(own, "path", "left_semi").select("path", "load_id").collect())
 
 
 def ingest_files(
@@ -137,9 +181,17 @@ def ingest_files(
     rules: Rules = DEFAULT_RULES,
     null_action: str = "warn",
     encoding: str | None = None,
+    identities: list[tuple[str, int, _dt.datetime]] | None = None,
+    load_id: str | None = None,
+    before_commit: Callable[[], None] | None = None,
 ) -> dict:
     """Read, validate, type, tag and append weekly files in one distributed job.
 
+    The rows count from the commit on; from then on they also take the place of rows of
+    the same files in earlier loads.  ``identities``: the files' versions, if they are
+    known.  ``load_id``: a name for the load that no other attempt has.
+    ``before_commit`` is called when the rows are written and not yet committed.
+
     ``null_action``: what a critical column with more than the rule's null
     share does -- ``warn`` (log and report) or ``fail`` (raise before the load is
     committed: its rows stay in the table for inspection, but no layer takes them).
@@ -157,7 +209,7 @@ def ingest_files(
     if class_dim is not None:
         raw = raw.join(dedupe_class_dimension(class_dim).withColumnRenamed("entity", "ENTITY"), "ENTITY", "left")
     raw = raw.withColumn("process_class", F.coalesce(F.col("process_class") if "process_class" in raw.columns else F.lit(None), F.lit("UNKNOWN")))
-    load_id = uuid.uuid4().hex
+    load_id = load_id or uuid.uuid4().hex
     raw = files.with_row_id(raw).withColumn("load_id", F.lit(load_id))
     # Null profile of the critical columns measured by the write job itself (no second scan).
     crit = [c for c in CRITICAL_RAW_COLUMNS if c in raw.columns]
@@ -172,6 +224,9 @@ def ingest_files(
         log.warning("columns more than half null: %s", warn)
         if null_action == "fail":
             raise ValueError(f"columns above the null threshold: {warn}")
+    if before_commit is not None:
+        before_commit()
+    sinks.record_files(spark, layout.load_files, load_id, identities or files.identities(spark, paths))
     sinks.commit_loads(spark, layout.loads, "RAW", [load_id], as_of)
     return {"rows_loaded": rows, "null_warnings": warn, "load_id": load_id}
 
@@ -202,25 +257,41 @@ def silver(
     ``end`` loads count as unfinished, and later runs look at them again.
     ``full_refresh`` rewrites the enriched table, the snapshots and the summary whole.
     """
+    if full_refresh and (start is not None or end is not None):
+        raise ValueError("full_refresh rewrites whole tables: it cannot be limited to a date range")
     t0 = time.perf_counter()
     as_of = as_of or _dt.datetime.now()
     run = uuid.uuid4().hex
-    table = spark.read.parquet(layout.raw)
+    layout.finish(spark)
+    table = _committed_rows(spark, layout)
     has_ids = "load_id" in table.columns
     loads = sinks.committed_loads(spark, layout.loads, "RAW")
     fresh = incremental and not full_refresh and sinks.table_exists(spark, layout.enriched)
-    if has_ids:
-        if fresh:
-            loads -= sinks.committed_loads(spark, layout.loads, "ENRICHED")
+    if has_ids and fresh:
+        loads -= sinks.committed_loads(spark, layout.loads, "ENRICHED")
         table = table.filter(F.col("load_id").isin(sorted(loads)))
     raw = scans.date_range(files.to_events(table), "event_ts", start, end)
     if since is not None and not full_refresh:
         raw = raw.filter(F.col("load_ts") > ts_lit(since))
     y, w = cal.parse_work_week("work_week")
-    found = [(r.y, r.w) for r in raw.select(y.alias("y"), w.alias("w")).distinct().collect()]  # bounded by the calendar
-    weeks = sorted((int(a), int(b)) for a, b in found if a is not None and b is not None)
+    in_weeks = lambda rows: {(r.y, r.w) for r in rows.select(y.alias("y"), w.alias("w")).distinct().collect()}  # noqa: E731 - bounded by the calendar
+    found = in_weeks(raw)
+    retired = _retired(spark, layout, loads) if has_ids and fresh and loads else []
+    left: set = set()
+    if retired:
+        gone = spark.read.parquet(layout.raw).filter(F.struct("source_file", "load_id").isin([F.struct(F.lit(p), F.lit(i)) for p, i in retired]))
+        left = in_weeks(files.to_events(gone))
+    weeks = sorted((int(a), int(b)) for a, b in found | left if a is not None and b is not None)
     sinks.add_pending(spark, layout.pending, run, ("SUMMARY", "GOLD"), weeks)
+    # Weeks that could not be told are week 0 of year 0 here.
+    sinks.add_pending(spark, layout.pending, run, ("TOOLS",), sorted({(a or 0, b or 0) if a and b else (0, 0) for a, b in found | left}))
     n = 0
+    if retired:
+        # Rows of the replaced versions go from the weeks they stood in; the new versions' rows follow like any other.
+        paths = sorted({p for p, _ in retired})
+        whole = scans.weeks_filter(spark.read.parquet(layout.enriched), left)
+        path_of = F.regexp_replace("pm_raw_id", "#-?[0-9]+$", "")
+        sinks.replace_weeks(whole.filter(~F.coalesce(path_of.isin(paths), F.lit(False))), layout.enriched, sorted(left, key=str))
     if found:
         if fresh:
             processed = scans.weeks_filter(spark.read.parquet(layout.enriched), found)
@@ -234,14 +305,18 @@ def silver(
         sinks.commit_loads(spark, layout.loads, "ENRICHED", sorted(loads), as_of)
 
     todo = sinks.pending_weeks(spark, layout.pending, "SUMMARY")
+    changed = sinks.pending_weeks(spark, layout.pending, "TOOLS")
     n_chr = n_sum = 0
-    if sinks.table_exists(spark, layout.enriched) and (n or todo or full_refresh):
+    if sinks.table_exists(spark, layout.enriched) and (n or todo or changed or full_refresh):
         all_ev = spark.read.parquet(layout.enriched)
-        scope = scans.date_range(all_ev, "event_ts", start, end)
         snapshot = f"s{as_of:%Y%m%dT%H%M%S}"
-        chronic = chr_.with_analysis_period(chr_.chronic_tools(scope, rules), scope).withColumns(
-            {"calculation_ts": ts_lit(as_of), "snapshot": F.lit(snapshot)}
-        )
+        _refresh_partials(spark, layout, changed, full_refresh)
+        if start is None and end is None:
+            chronic = chr_.chronic_from_partials(spark.read.parquet(layout.tool_weeks), rules)
+        else:
+            scope = scans.date_range(all_ev, "event_ts", start, end)
+            chronic = chr_.with_analysis_period(chr_.chronic_tools(scope, rules), scope)
+        chronic = chronic.withColumns({"calculation_ts": ts_lit(as_of), "snapshot": F.lit(snapshot)})
         if full_refresh:
             n_chr = sinks.replace_all(chronic, layout.chronic, partition_by=("snapshot",))
         else:
@@ -249,12 +324,13 @@ def silver(
             n_chr = sinks.write_table(chronic, layout.chronic, "replace", partition_by=("snapshot",))
         if build_summary:
             current = spark.read.parquet(layout.chronic).filter(F.col("snapshot") == snapshot)
-            touched = all_ev if full_refresh else scans.weeks_filter(all_ev, [(a, b) for _, a, b in todo])
+            own = sorted({(a, b) for _, a, b in todo})
+            touched = all_ev if full_refresh else scans.weeks_filter(all_ev, own)
             summary = kpis.downtime_summary(touched, current).withColumn("calculated_at", ts_lit(as_of))
             if full_refresh:
-                n_sum = sinks.replace_all(summary, layout.summary, partition_by=WEEK_PARTS)
+                n_sum = sinks.replace_all(summary, layout.summary, WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
             else:
-                n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD)
+                n_sum = sinks.write_table(summary, layout.summary, "replace", partition_by=WEEK_PARTS, cluster=True, spread=FACT_SPREAD, covering=own)
             sinks.clear_pending(spark, layout.pending, "SUMMARY", todo)
 
     if n and not sinks.table_exists(spark, layout.date_dim):
@@ -265,6 +341,21 @@ def silver(
             "weeks": waiting, "seconds": time.perf_counter() - t0}
 
 
+def _refresh_partials(spark: SparkSession, layout: Layout, changed: list[tuple[str, int, int]], whole: bool) -> None:
+    """Bring the stored partials of each tool and week up to date, from the changed weeks' events alone.
+
+    All events are read once, when the table is not there yet or is to be rewritten whole.
+    """
+    events = spark.read.parquet(layout.enriched)
+    if whole or not sinks.table_exists(spark, layout.tool_weeks):
+        sinks.replace_all(chr_.tool_week_partials(events), layout.tool_weeks, WEEK_PARTS, cluster=True)
+    elif changed:
+        weeks = sorted({(a, b) if a else (None, None) for _, a, b in changed}, key=str)
+        rows = chr_.tool_week_partials(scans.weeks_filter(events, weeks))
+        sinks.write_table(rows, layout.tool_weeks, "replace", WEEK_PARTS, cluster=True, covering=weeks)
+    sinks.clear_pending(spark, layout.pending, "TOOLS", changed)
+
+
 # ---------------------------------------------------------------- gold
 
 
@@ -299,8 +390,11 @@ def gold(
     ``full_refresh``: the facts are rewritten whole, so that weeks no longer there go.
     Pending weeks are crossed out once all four facts have them.
     """
+    if full_refresh and any(x is not None for x in (start_ww, end_ww, since, weeks)):
+        raise ValueError("full_refresh rewrites whole facts: it cannot be limited to some weeks")
     t0 = time.perf_counter()
     as_of = as_of or _dt.datetime.now()
+    layout.finish(spark)
     pending = sinks.pending_weeks(spark, layout.pending, "GOLD")
     ev = scans.week_range(spark.read.parquet(layout.enriched), start_ww, end_ww)
     if skip_done and sinks.table_exists(spark, layout.site):
@@ -317,20 +411,17 @@ def gold(
     def put(df: DataFrame, path: str, spread: int) -> int:
         df = df.withColumn("calculated_at", stamp)
         if full_refresh:
-            return sinks.replace_all(df, path, WEEK_PARTS)
-        return sinks.write_table(df, path, "replace", WEEK_PARTS, cluster=True, spread=spread, sort_by=FACT_ORDER)
+            return sinks.replace_all(df, path, WEEK_PARTS, cluster=True, spread=spread, sort_by=FACT_ORDER)
+        covering = weeks if sinks.table_exists(spark, path) else None
+        return sinks.write_table(df, path, "replace", WEEK_PARTS, cluster=True, spread=spread, sort_by=FACT_ORDER, covering=covering)
 
     def history() -> int:
         if full_refresh or weeks is None or not sinks.table_exists(spark, layout.history):
             return put(chr_.chronic_weekly(ev, rules), layout.history, FACT_SPREAD)
         stored = spark.read.parquet(layout.history).drop("calculated_at")
-        rows, _ = chr_.chronic_weekly_update(chr_.weekly_scores(ev, rules), stored, weeks)
-        # Written aside first: the rows come from partitions that they replace.
-        aside = f"{layout.root.rstrip('/')}/_history_{uuid.uuid4().hex}"
-        rows.write.parquet(aside)
-        n = put(spark.read.parquet(aside), layout.history, FACT_SPREAD)
-        sinks.drop_table(spark, aside)
-        return n
+        rows, touched = chr_.chronic_weekly_update(chr_.weekly_scores(ev, rules), stored, weeks)
+        # The rows come from partitions that they replace.
+        return sinks.replace_weeks(rows.withColumn("calculated_at", stamp), layout.history, touched, WEEK_PARTS, cluster=True, spread=FACT_SPREAD, sort_by=FACT_ORDER)
 
     builders = {
         "site": lambda: put(kpis.site_week_kpis(ev, chronic_e), layout.site, 1),
@@ -376,7 +467,7 @@ def apply_retention(spark: SparkSession, layout: Layout, rules: Rules = DEFAULT_
     out = {}
     plan = {
         "raw": (rules.retention_weeks_raw, [layout.raw]),
-        "enriched": (rules.retention_weeks_enriched, [layout.enriched, layout.summary]),
+        "enriched": (rules.retention_weeks_enriched, [layout.enriched, layout.summary, layout.tool_weeks]),
         "facts": (rules.retention_weeks_facts, [layout.site, layout.ceid, layout.part, layout.history]),
     }
     for layer, (weeks, paths) in plan.items():
