@@ -266,7 +266,7 @@ def silver(
     table = _committed_rows(spark, layout)
     has_ids = "load_id" in table.columns
     loads = sinks.committed_loads(spark, layout.loads, "RAW")
-    fresh = incremental and not full_refresh and sinks.table_exists(spark, layout.enriched)
+    fresh = incremental and not full_refresh and sinks.has_files(spark, layout.enriched)
     if has_ids and fresh:
         loads -= sinks.committed_loads(spark, layout.loads, "ENRICHED")
         table = table.filter(F.col("load_id").isin(sorted(loads)))
@@ -293,7 +293,7 @@ def silver(
         path_of = F.regexp_replace("pm_raw_id", "#-?[0-9]+$", "")
         sinks.replace_weeks(whole.filter(~F.coalesce(path_of.isin(paths), F.lit(False))), layout.enriched, sorted(left, key=str))
     if found:
-        if fresh:
+        if fresh and sinks.has_files(spark, layout.enriched):
             processed = scans.weeks_filter(spark.read.parquet(layout.enriched), found)
             raw = scans.new_by_id(raw, processed, "pm_raw_id", "pm_raw_id")
         enriched = project_enriched(enrich(raw, rules, None, as_of), extra=("pm_raw_id",))
@@ -307,7 +307,7 @@ def silver(
     todo = sinks.pending_weeks(spark, layout.pending, "SUMMARY")
     changed = sinks.pending_weeks(spark, layout.pending, "TOOLS")
     n_chr = n_sum = 0
-    if sinks.table_exists(spark, layout.enriched) and (n or todo or changed or full_refresh):
+    if sinks.has_files(spark, layout.enriched) and (n or todo or changed or full_refresh):
         all_ev = spark.read.parquet(layout.enriched)
         snapshot = f"s{as_of:%Y%m%dT%H%M%S}"
         _refresh_partials(spark, layout, changed, full_refresh)
@@ -347,7 +347,7 @@ def _refresh_partials(spark: SparkSession, layout: Layout, changed: list[tuple[s
     All events are read once, when the table is not there yet or is to be rewritten whole.
     """
     events = spark.read.parquet(layout.enriched)
-    if whole or not sinks.table_exists(spark, layout.tool_weeks):
+    if whole or not sinks.has_files(spark, layout.tool_weeks):
         sinks.replace_all(chr_.tool_week_partials(events), layout.tool_weeks, WEEK_PARTS, cluster=True)
     elif changed:
         weeks = sorted({(a, b) if a else (None, None) for _, a, b in changed}, key=str)
@@ -416,7 +416,7 @@ def gold(
         return sinks.write_table(df, path, "replace", WEEK_PARTS, cluster=True, spread=spread, sort_by=FACT_ORDER, covering=covering)
 
     def history() -> int:
-        if full_refresh or weeks is None or not sinks.table_exists(spark, layout.history):
+        if full_refresh or weeks is None or not sinks.has_files(spark, layout.history):
             return put(chr_.chronic_weekly(ev, rules), layout.history, FACT_SPREAD)
         stored = spark.read.parquet(layout.history).drop("calculated_at")
         rows, touched = chr_.chronic_weekly_update(chr_.weekly_scores(ev, rules), stored, weeks)
