@@ -17,8 +17,14 @@ def test_every_query_of_the_catalog_has_oracle():
     assert set(catalog.REGISTRY) <= set(E.oracle_sql()) <= set(E.queries())
 
 
+#: Queries that run whole jobs while they are built; test_pipeline.py and test_recovery.py run such jobs.
+JOBS = ("pipeline_", "stream_", "csv_roundtrip")
+
+
 def test_queries_resolve(spark):
     for name, fn in catalog.REGISTRY.items():
+        if name.startswith(JOBS):
+            continue
         df = fn(spark, SF_SMALL)
         assert df.columns, name
 
