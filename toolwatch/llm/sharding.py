@@ -25,6 +25,8 @@ _PLACE_BITS, _TIE_BITS = 30, 32
 #: A median is exact enough when its bin has this share of a shard's bytes.
 _TOLERANCE = 0.0005
 _BUCKET_ROWS = 50_000
+#: A string is several numbers, of so many bytes each, and a last one for all of it.
+_PIECES, _PIECE_BYTES = 4, 6
 
 
 @dataclass
@@ -45,13 +47,20 @@ class _Node:
         return (self.b - self.a) // BINS + 1
 
 
-def coordinate(docs: DataFrame, name: str) -> Column:
-    """A number for a metadata value: itself, or the first six bytes of a string; null and NaN count as 0."""
+def coordinates(docs: DataFrame, name: str) -> list[Column]:
+    """Numbers for a metadata value: itself, or those of a string; null and NaN count as 0.
+
+    A string gives its first bytes, the bytes after them and so on, and at last a hash of
+    the whole.  Where all strings of a node begin alike, the next number tells them apart.
+    """
     col = docs[name]
+    cols = [col]
     if isinstance(docs.schema[name].dataType, StringType):
-        col = F.conv(F.rpad(F.hex(F.substring(F.encode(col, "utf-8"), 1, 6)), 12, "0"), 16, 10)
-    col = col.cast("double")
-    return F.when(col.isNull() | F.isnan(col), F.lit(0.0)).otherwise(F.greatest(F.least(col, F.lit(1e300)), F.lit(-1e300)))
+        raw = F.encode(col, "utf-8")
+        pieces = [F.substring(raw, 1 + k * _PIECE_BYTES, _PIECE_BYTES) for k in range(_PIECES)]
+        cols = [F.conv(F.rpad(F.hex(p), 2 * _PIECE_BYTES, "0"), 16, 10) for p in pieces] + [F.xxhash64(col)]
+    cols = [c.cast("double") for c in cols]
+    return [F.when(c.isNull() | F.isnan(c), F.lit(0.0)).otherwise(F.greatest(F.least(c, F.lit(1e300)), F.lit(-1e300))) for c in cols]
 
 
 def _pick(values: list, kind: str, node: Column) -> Column:
@@ -105,13 +114,20 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, dims: list[str] = ()
     half a row, or 0.05 % of a shard, of its goal.  Give ``n_shards``, or ``target_bytes``
     from which their number follows.  ``slot`` counts each shard's rows from 0.
 
+    A string counts by its bytes: by the first six in which a node's strings differ (of
+    the first 24; those that only differ behind them by a hash of the whole string).
+
     A null text has size 8 and the checksum of no bytes, 0.  Null or NaN metadata count
     as 0; rows of equal metadata, also repeated rows, are divided by a hash of their
     row number.  Without ``dims`` that hash alone divides.  An empty table gives no
     rows.  Columns other than doc_id, text and ``dims`` are not read.
     """
-    names = [f"d{i}" for i in range(max(1, len(dims)))]
-    coords = [coordinate(docs, d) for d in dims] or [F.lit(0.0)]
+    groups: list[list[int]] = []  # the numbers of each dimension, in the order in which they count
+    coords: list[Column] = []
+    for own in [coordinates(docs, d) for d in dims] or [[F.lit(0.0)]]:
+        groups.append(list(range(len(coords), len(coords) + len(own))))
+        coords += own
+    names = [f"d{i}" for i in range(len(coords))]
     slim = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(docs["text"]), F.lit(0)) + 8).cast("long").alias("size"),
@@ -141,7 +157,8 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, dims: list[str] = ()
         for r in bounds:
             n = nodes[r["node"]]
             width = [(r[f"max_{d}"] / 2 - r[f"min_{d}"] / 2) / s if s else 0.0 for d, s in zip(names, spans)]
-            n.dim = max(range(len(names)), key=lambda i: width[i])
+            telling = [next((i for i in g if width[i] > 0), g[0]) for g in groups]
+            n.dim = max(telling, key=lambda i: width[i])
             n.low, n.high = r[f"min_{names[n.dim]}"], r[f"max_{names[n.dim]}"]
             n.goal = r["w"] * (n.leaves // 2) / n.leaves
         seen = {r["node"] for r in bounds}
