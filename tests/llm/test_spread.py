@@ -55,6 +55,16 @@ def test_shards_divide_ties_and_odd_rows(spark):
     assert kd_shards(docs.limit(0), 5, ["source"]).collect() == []
 
 
+@pytest.mark.parametrize("before", ["site", "https://site", "https://www.example.org/a/long/path/site"])
+def test_strings_that_begin_alike_are_divided_by_what_follows(spark, before):
+    docs = spark.createDataFrame([(i, "same size", f"{before}{i % 6}") for i in range(600)], "doc_id long, text string, source string")
+    rows = kd_shards(docs, 6, ["source"]).collect()
+    hosts = defaultdict(set)
+    for r in rows:
+        hosts[r.shard].add(r.doc_id % 6)
+    assert len(hosts) == 6 and all(len(h) == 1 for h in hosts.values())
+
+
 def test_sharding_stays_in_the_jvm(spark):
     plan = kd_shards(spark.read.parquet(f"{SF}/documents.parquet"), 3, ["lang"])._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -239,12 +249,23 @@ def test_neighbours_recall_and_scores(spark):
     assert hits >= 0.9 * 10 * len(want)
 
 
+def test_neighbours_recall_with_production_parameters(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    found = defaultdict(set)
+    for r in nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 100 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    want = slow_nearest(rows)
+    assert set(found) == set(want)
+    assert sum(len(found[q] & {v for v, _ in want[q]}) for q in want) >= 0.9 * 10 * len(want)
+
+
 def test_neighbour_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (9, [0.5, 0.5]), (100, [2.0, 2.0])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, v int")
     got = [(r.query_id, r["rank"], r.vec_id) for r in nearest_neighbours(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()]
-    assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 9), (0, 4, 100), (100, 1, 9), (100, 2, 0), (100, 3, 1), (100, 4, 2)]
+    # A vector of another length takes part; the shorter ones end in zeros.
+    assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 9), (0, 4, 100), (0, 5, 8), (100, 1, 9), (100, 2, 0), (100, 3, 1), (100, 4, 2), (100, 5, 8)]
     assert nearest_neighbours(df.limit(0), F.col("vec_id") % 100 == 0).collect() == []
     assert nearest_neighbours(df, F.col("vec_id") < 0).collect() == []
 

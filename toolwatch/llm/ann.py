@@ -111,10 +111,10 @@ def nearest_neighbours(
 ) -> DataFrame:
     """The ``k`` nearest other rows found for each row where ``queries`` holds: query_id, rank, vec_id, score.
 
-    score is the Euclidean distance in double precision on the vectors as given; ties
-    go to the smaller id.  Every row is indexed; hash planes are fitted on at most
+    score is the Euclidean distance in double precision on the vectors as given (a shorter
+    one ends in zeros); ties go to the smaller id.  Every row is indexed; hash planes are fitted on at most
     ``sample_rows`` rows (those with the smallest hash of their id).  Rows with a null
-    id, and vectors that are null, zero, of another length than most, or with a null or
+    id, and vectors that are null, zero, or with a null or
     non-finite component take no part.  A query never finds its own id; with repeated
     ids each row counts.  Fewer candidates than ``k`` are all returned.  Extra columns
     are not read.
@@ -125,13 +125,12 @@ def nearest_neighbours(
         F.col("id").isNotNull() & usable(F.col("v"))
     )
     good = good.withColumn("row", F.xxhash64("id", "v"))
-    sizes = good.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_query").cast("long")).alias("q"))
-    most = sizes.orderBy(F.col("n").desc(), "dim").first()
+    size = good.agg(F.max(F.size("v")).alias("dim"), F.count(F.lit(1)).alias("n"), F.sum(F.col("is_query").cast("long")).alias("q")).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if most is None or not most["q"]:
+    if not size["q"]:
         return empty
-    dim, n_rows, n_queries = most["dim"], most["n"], most["q"]
-    good = good.filter(F.size("v") == dim)
+    dim, n_rows, n_queries = size["dim"], size["n"], size["q"]
+    good = good.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), dim - F.size("v"))))
     sample = good.select("v").orderBy(F.xxhash64("id"), "id", "row").limit(sample_rows).collect()
     family = HashFamily(np.array([r["v"] for r in sample]), trees, bits)
     n_blocks = -(-n_rows // block_rows)
