@@ -22,6 +22,8 @@ from toolwatch.llm.common import arrow_map, batches_of, written
 from toolwatch.llm.tokens import TaskFile, filesystem, library_encoder
 
 BLOCK_BYTES = 4 << 20
+#: Tasks of a scan; more blocks than that go several to a task, one after another.
+MOST_TASKS = 20_000
 _TEXT_BYTES = 8 << 20
 SUFFIX = ".tok"
 
@@ -92,7 +94,7 @@ def scan_flat(spark: SparkSession, folder: str, end_id: int, width: int = 2, blo
                     ["path", "block", "n_ids", "last_end", "ends"],
                 )
 
-    dealt = blocks.repartition(max(1, n_blocks), "path", "block")
+    dealt = blocks.repartition(max(1, min(n_blocks, MOST_TASKS)), "path", "block")  # beyond that, several blocks a task
     found = written(arrow_map(dealt, run, "path string, block long, n_ids long, last_end long, ends array<long>"), "flat-ends")
     order = Window.partitionBy("path").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
