@@ -547,6 +547,10 @@ FROM g"""
         _rolling("ORDER BY ww_number RANGE BETWEEN 3 PRECEDING AND CURRENT ROW", "facility, ww_year"),
         ("rolling_4wk_avg_pm_life", "rolling_4wk_downtime_hours"),
     )
+    q["pipeline_rolled"] = (
+        "SELECT facility, ww_year, ww_number, work_week, rolling_4wk_avg_pm_life, rolling_4wk_pm_count, rolling_4wk_downtime_hours "
+        f"FROM ({q['rolling_range']}) AS rolled"
+    )
     q["rolling_rows"] = rounded(
         _rolling("ORDER BY ww_year, ww_number ROWS BETWEEN 3 PRECEDING AND CURRENT ROW", "facility"),
         ("rolling_4wk_avg_pm_life", "rolling_4wk_downtime_hours"),

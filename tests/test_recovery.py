@@ -214,3 +214,27 @@ def test_history_without_the_rows_of_a_retired_week(spark):
     want = chr_.with_changes(scores.filter("ww_number <> 3"))
     assert touched == [(2020, 3), (2020, 6)]
     assert _rounded(left) == _rounded(want.filter("ww_number = 6"))
+
+
+# ---- rolled fact
+
+
+def test_only_windows_of_changed_weeks_are_rolled_anew(spark, tmpdir_path):
+    layout = jobs.Layout(tmpdir_path)
+    cols = "facility string, ww_year int, ww_number int, work_week string, avg_pm_life double, total_pm_events long, total_downtime_hours double"
+    site = spark.createDataFrame([(f, 2020, w, f"2020WW{w:02d}", float(w * w), w, w / 4) for f in "ab" for w in (1, 2, 5, 6, 8, 9, 20, 53)] + [("a", 2021, 1, "2021WW01", 1.0, 1, 1.0)], cols)
+    sinks.write_table(site, layout.site, "replace")
+    rules = jobs.DEFAULT_RULES
+    jobs._roll(spark, layout, None, rules)
+    names = lambda w: os.listdir(sinks._week_dir(layout.site_rolled, 2020, w))
+    before = {w: names(w) for w in (1, 2, 5, 20, 53)}
+    # Week 6 changes, week 9 goes: windows up to week 12 are rolled again, others stay as they are.
+    more = site.filter("ww_number = 6").withColumn("total_pm_events", F.lit(100).cast("long"))
+    sinks.write_table(more, layout.site, "replace", covering=[(2020, 6), (2020, 9)])
+    jobs._roll(spark, layout, [(2020, 6), (2020, 9)], rules)
+    from toolwatch.operators.rolling import rolling_range
+
+    want = rolling_range(spark.read.parquet(layout.site), rules)
+    got = spark.read.parquet(layout.site_rolled)
+    assert _rounded(got) == _rounded(want)
+    assert {w: names(w) for w in before} == before

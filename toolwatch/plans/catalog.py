@@ -503,6 +503,27 @@ def q_pipeline_chronic(spark, d):
     return finish(latest.drop("snapshot", "calculation_ts"))
 
 
+ROLLED_OUTPUT = ("facility", "ww_year", "ww_number", "work_week", "rolling_4wk_avg_pm_life", "rolling_4wk_pm_count", "rolling_4wk_downtime_hours")
+
+
+def q_pipeline_rolled(spark, d):
+    """The rolled site fact after a second load of a fifth of the weeks, of which only their windows are rolled anew."""
+    from toolwatch.plans import jobs
+    from toolwatch.sources import files
+
+    run = _scratch(spark, "rolled")
+    layout, dim = jobs.Layout(f"{run}/warehouse"), testbed.class_dimension(spark, d)
+    late = F.pmod(F.xxhash64("work_week"), F.lit(5)) == 0
+    for k, own in enumerate((~late, late)):
+        testbed.render_weekly_files(testbed.pm_events(spark, d).filter(own), f"{run}/source{k}")
+        paths = [r.path for r in files.list_week_files(spark, f"{run}/source{k}").select("path").collect()]
+        at = PIPELINE_AS_OF + _dt.timedelta(days=k)
+        jobs.ingest_files(spark, paths, layout, class_dim=dim, as_of=at)
+        s = jobs.silver(spark, layout, as_of=at, build_summary=False)
+        jobs.gold(spark, layout, as_of=at, weeks=s["weeks"], facts=("site",))
+    return finish(spark.read.parquet(layout.site_rolled).select(*ROLLED_OUTPUT))
+
+
 def _deliver_anew(spark, old_root, new_root):
     """Replace each week's files under ``old_root`` by those under ``new_root``, under the old names."""
     from toolwatch.sources import files
@@ -686,6 +707,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_partial_week": q_pipeline_partial_week,
     "pipeline_history": q_pipeline_history,
     "pipeline_chronic": q_pipeline_chronic,
+    "pipeline_rolled": q_pipeline_rolled,
     "pipeline_corrected_file": q_pipeline_corrected_file,
     "stream_recovery": q_stream_recovery,
     "csv_roundtrip": q_csv_roundtrip,

@@ -430,10 +430,8 @@ def gold(
         "history": history,
     }
     out = {f"{name}_rows": builders[name]() for name in facts}
-    # Rolling measures over the (small, aggregated) site fact; rewritten whole.
     if "site" in facts:
-        site_all = spark.read.parquet(layout.site)
-        out["rolled_rows"] = sinks.replace_all(rolling.rolling_range(site_all, rules), layout.site_rolled, partition_by=())
+        out["rolled_rows"] = _roll(spark, layout, None if full_refresh else weeks, rules)
     if set(facts) == set(builders):
         label = lambda y, w: f"{y}WW{w:02d}"
         built = [
@@ -447,6 +445,23 @@ def gold(
     return out
 
 
+def _roll(spark: SparkSession, layout: Layout, weeks: list[tuple[int, int]] | None, rules: Rules) -> int:
+    """Rolling measures of the site fact; returns the rows written.
+
+    A changed week changes itself and the weeks whose window reaches back to it, which end
+    with its year; they are computed from the weeks their windows hold, and nothing else
+    is read or rewritten.  Without ``weeks``, or a table by weeks, all is rolled anew.
+    """
+    site = spark.read.parquet(layout.site)
+    if weeks is None or not sinks.is_by_week(spark, layout.site_rolled):
+        return sinks.replace_all(rolling.rolling_range(site, rules), layout.site_rolled, WEEK_PARTS, cluster=True, sort_by=FACT_ORDER)
+    k = rules.rolling_window_weeks
+    near = lambda first, last: sorted({(y, w + i) for y, w in weeks for i in range(first, last) if 1 <= w + i <= 53})
+    changed = near(0, k)
+    rows = scans.weeks_filter(rolling.rolling_range(scans.weeks_filter(site, near(1 - k, k)), rules), changed)
+    return sinks.write_table(rows, layout.site_rolled, "replace", WEEK_PARTS, cluster=True, sort_by=FACT_ORDER, covering=changed)
+
+
 def _weeks_of(rows: DataFrame) -> list[tuple[int, int]]:
     """Distinct (year, week) pairs: bounded by the calendar."""
     found = rows.select(*WEEK_PARTS).filter("ww_year IS NOT NULL AND ww_number IS NOT NULL").distinct().collect()
