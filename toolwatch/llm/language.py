@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from toolwatch.llm.common import arrow_map, batches_of
+from toolwatch.llm.common import arrow_map, batches_of, written
 
 #: Labelled texts the model is fitted on, shared equally by the languages; spans of each and words of a span.
 SAMPLE_ROWS, SPANS, SPAN_WORDS = 2400, 6, 12
@@ -154,8 +154,15 @@ def training_spans(docs: DataFrame, sample_rows: int, spans: int = SPANS) -> lis
         return []
     quota = max(1, sample_rows // n_langs)
     keyed = docs.select("lang", "text", F.xxhash64("text", F.lit(7)).alias("at"))
-    # The texts themselves only travel after the hashes have chosen: distinct texts below the quota's hash.
-    hashes = keyed.select("lang", "at").distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("at"))).filter(F.col("n") <= quota)
+    # The texts themselves only travel after the hashes have chosen.  Hashes are spread evenly, so the
+    # smallest ones of a language lie under a bound that its number of texts gives, with room to spare.
+    distinct = written(keyed.select("lang", "at").distinct(), "text-hashes")
+    counts = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each language
+    share = {r["lang"]: min(1.0, (4 * quota + 100) / r["n"]) for r in counts}
+    upto = {lang: min(int(x * 2**64) - 2**63, 2**63 - 1) for lang, x in share.items()}
+    bounds = F.create_map(*[x for lang, top in upto.items() for x in (F.lit(lang), F.lit(top).cast("long"))])
+    low = distinct.filter(F.col("at") <= F.element_at(bounds, F.col("lang")))
+    hashes = low.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("at"))).filter(F.col("n") <= quota)
     chosen = keyed.join(hashes.select("lang", "at"), ["lang", "at"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
