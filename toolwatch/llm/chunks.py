@@ -111,7 +111,7 @@ class ChunkEncoder:
     """
 
     def __init__(
-        self, encode_many: Callable[[list[str]], list[bytes]], most: int = 250_000, words: bool = False,
+        self, encode_many: Callable[[list[str]], list[bytes]], most: int = 150_000, words: bool = False,
         encode_tight: Callable[[list[str]], list[bytes]] | None = None,
     ):
         self.encode_many, self.encode_tight = encode_many, encode_tight

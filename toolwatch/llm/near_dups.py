@@ -46,7 +46,7 @@ SKETCH_SLACK = 0.225
 #: All shingles of all documents are counted in so many counters by the first bits of their
 #: hashes.  Strangers in a counter add about the same to all, so what stands in few documents
 #: sorts before what stands in many.  Any order gives the same links; this one gives few candidates.
-COUNTER_BITS, BLOCK_BITS = 22, 14
+COUNTER_BITS, BLOCK_BITS = 21, 14
 #: Rows of one shingle that meet in a task; more are dealt in blocks, and each block meets every other.
 BLOCK_ROWS = 4096
 #: A pair must share a shingle among the first, and one more for each so many shingles of the smaller set.
