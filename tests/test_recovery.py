@@ -203,6 +203,11 @@ def test_a_corrected_file_takes_the_place_of_its_first_version(spark, events, tm
     assert total == len(moved)
     again = jobs.full_pipeline(spark, root, layout, work_week=WEEKS[0], as_of=later + dt.timedelta(days=1))
     assert again["bronze"]["status"] == "SKIPPED" and again["silver"]["status"] == "NO_DATA"
+    assert layout.missing(spark) == [] and jobs.Layout(os.path.join(tmpdir_path, "none")).missing(spark) == list(jobs.Layout.EXPECTED)
+    # A refresh of all layers from the raw table, whose superseded rows stay out.
+    before = _rounded(spark.read.parquet(layout.site), ("calculated_at",))
+    res = jobs.full_pipeline(spark, root, layout, work_week=WEEKS[0], as_of=later + dt.timedelta(days=2), full_refresh=True)
+    assert res["silver"]["rows_enriched"] == len(moved) and _rounded(spark.read.parquet(layout.site), ("calculated_at",)) == before
 
 
 def test_history_without_the_rows_of_a_retired_week(spark):

@@ -66,6 +66,14 @@ class Layout:
     part = property(lambda s: s._p("fact_part_week"))
     history = property(lambda s: s._p("fact_chronic_history"))
 
+    #: Tables that a complete run of all layers leaves.
+    EXPECTED = ("raw", "load_log", "loads", "load_files", "pending", "enriched", "summary", "tool_weeks", "chronic", "date_dim",
+                "site", "site_rolled", "ceid", "part", "history")
+
+    def missing(self, spark: SparkSession) -> list[str]:
+        """Expected tables that are not there."""
+        return [name for name in self.EXPECTED if not sinks.table_exists(spark, getattr(self, name))]
+
     def finish(self, spark: SparkSession) -> None:
         """Complete replacements of tables that an earlier run has left half done."""
         for path in (self.enriched, self.summary, self.tool_weeks, self.chronic, self.site, self.site_rolled, self.ceid, self.part, self.history):
@@ -137,10 +145,17 @@ def changed_files(spark: SparkSession, paths: list[str], layout: Layout) -> list
         rows = versions.filter("current").filter(F.col("path").isin(paths)).collect()
         held = {r.path: (r.length, r.modified) for r in rows}
     unknown = [p for p, _, _ in found if p not in held]
-    if unknown and sinks.table_exists(spark, layout.raw):
-        rows = _committed_rows(spark, layout).filter(F.col("source_file").isin(unknown))
-        noted = {p: (n, t) for p, n, t in found}
-        held |= {r.source_file: noted[r.source_file] for r in rows.select("source_file").distinct().collect()}
+    if unknown and sinks.has_files(spark, layout.raw):
+        raw = spark.read.parquet(layout.raw)
+        if "load_id" in raw.columns:
+            # Only loads from before versions were noted are searched by their rows.
+            known = set() if versions is None else {r.load_id for r in versions.select("load_id").distinct().collect()}
+            old = sorted(committed - known)
+            raw = raw.filter(F.col("load_id").isin(old)) if old else None
+        if raw is not None:
+            noted = {p: (n, t) for p, n, t in found}
+            rows = raw.filter(F.col("source_file").isin(unknown)).select("source_file").distinct()
+            held |= {r.source_file: noted[r.source_file] for r in rows.collect()}
     return [(p, n, t) for p, n, t in found if held.get(p) != (n, t)]
 
 
@@ -416,6 +431,8 @@ def gold(
         return sinks.write_table(df, path, "replace", WEEK_PARTS, cluster=True, spread=spread, sort_by=FACT_ORDER, covering=covering)
 
     def history() -> int:
+        if weeks == []:
+            return 0
         if full_refresh or weeks is None or not sinks.has_files(spark, layout.history):
             return put(chr_.chronic_weekly(ev, rules), layout.history, FACT_SPREAD)
         stored = spark.read.parquet(layout.history).drop("calculated_at")
@@ -522,9 +539,12 @@ def full_pipeline(
     class_dim: DataFrame | None = None,
     rules: Rules = DEFAULT_RULES,
     as_of: _dt.datetime | None = None,
+    full_refresh: bool = False,
 ) -> dict:
     """Run the layers in order.
 
+    ``full_refresh``: silver and gold rewrite their tables from all that is loaded.
+
     A bronze failure is tolerated when a later layer still runs (it works on
     what is already loaded); a silver failure is tolerated when gold runs.
     Silver and gold append one load-log row each (status, rows, seconds); the
@@ -548,7 +568,7 @@ def full_pipeline(
                 raise
     if not skip_silver:
         try:
-            res["silver"] = silver(spark, layout, rules=rules, as_of=as_of)
+            res["silver"] = silver(spark, layout, rules=rules, as_of=as_of, full_refresh=full_refresh)
         except Exception as e:  # noqa: BLE001
             res["silver"] = {"status": "FAILED", "error": str(e)}
             _log("SILVER", "ENRICHMENT", res["silver"])
@@ -560,7 +580,8 @@ def full_pipeline(
         try:
             # Every week some run has left to do, this one or one that died.
             waiting = sorted({(y, w) for _, y, w in sinks.pending_weeks(spark, layout.pending, "GOLD")})
-            res["gold"] = gold(spark, layout, weeks=None if skip_silver and not waiting else waiting, rules=rules, as_of=as_of)
+            whole = full_refresh or (skip_silver and not waiting)
+            res["gold"] = gold(spark, layout, weeks=None if whole else waiting, rules=rules, as_of=as_of, full_refresh=full_refresh)
         except Exception as e:
             _log("GOLD", "KPI_FACTS", {"status": "FAILED", "error": str(e)})
             raise
