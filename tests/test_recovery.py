@@ -243,3 +243,21 @@ def test_only_windows_of_changed_weeks_are_rolled_anew(spark, tmpdir_path):
     got = spark.read.parquet(layout.site_rolled)
     assert _rounded(got) == _rounded(want)
     assert {w: names(w) for w in before} == before
+
+
+def test_write_settings_are_the_sessions_own_afterwards(spark, tmpdir_path):
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "3")
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        with pytest.raises(RuntimeError), sinks.write_settings(spark):
+            assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+            assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == sinks.OPEN_PARTITIONS
+            # Wide rows are not sorted by the week they go to, and no method is too long to be compiled.
+            rows = spark.range(100).select((F.col("id") % 40).cast("string").alias("week"), *[F.col("id").alias(f"c{i}") for i in range(90)])
+            rows.write.partitionBy("week").parquet(tmpdir_path + "/t")
+            raise RuntimeError
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "3"
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+    finally:
+        spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+    assert spark.read.parquet(tmpdir_path + "/t").groupBy("week").count().count() == 40
