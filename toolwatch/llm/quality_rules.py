@@ -61,7 +61,7 @@ def measure(text: str) -> tuple[int, int, int, int, int]:
     return n, word_chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeat
 
 
-_HOST = "host of verdict"
+_HOST = "__host"
 
 
 def measured(docs: DataFrame) -> DataFrame:
