@@ -180,3 +180,11 @@ def test_toxicity_edge_rows(spark):
         m = train_severity(docs, labels)
         assert m.weights == {} and not any(r.rejected for r in score_severity(docs, m).collect())
     assert features("It's BAD, grubby") >= {"bad", "grubby", "grub-", "grubb-"}
+
+
+def test_library_encoder_keeps_a_quarter_million_chunks_a_generation():
+    import public_tokenizers
+
+    from toolwatch.llm.tokens import library_encoder
+
+    assert library_encoder(public_tokenizers.path("word_bpe_49k.json")).cache.most == 250_000

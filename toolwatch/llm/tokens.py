@@ -92,7 +92,7 @@ def library_encoder(vocab_file: str) -> ChunkEncoder:
     tok.encode_special_tokens = True
     words = "Lowercase" in str(tok.normalizer)
     many = JoinedEncoder(tok, words)
-    return ChunkEncoder(many, words=words, encode_tight=many.tight)
+    return ChunkEncoder(many, most=250_000, words=words, encode_tight=many.tight)
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
