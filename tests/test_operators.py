@@ -200,3 +200,30 @@ def test_global_median_is_exact(spark):
         df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double")
         got = global_median(df, "v").first()["median"]
         assert got == (statistics.median(values) if values else None)
+
+
+def test_weekly_scores_parse_a_week_once_and_drop_rows_without_one(spark):
+    ev = spark.range(40).select(
+        F.when(F.col("id") != 3, F.concat(F.lit("T"), (F.col("id") % 2).cast("string"))).alias("entity"),
+        F.lit("S").alias("facility"),
+        F.lit("C").alias("ceid"),
+        (F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(days=F.col("id").cast("int") % 10)).alias("event_ts"),
+        F.when(F.col("id") % 8 == 0, F.lit(None)).when(F.col("id") % 8 == 1, F.lit("no week"))
+        .otherwise(F.concat(F.lit("2024WW0"), (1 + F.col("id") % 4).cast("string"))).alias("work_week"),
+        F.lit("Scheduled").alias("downtime_type"),
+        F.col("id").cast("double").alias("actual_life"),
+        F.lit(50.0).alias("target_life"),
+        F.lit(1.5).alias("down_hours"),
+    )
+    scores = chronic.weekly_scores(enrich_events(ev))
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert not [line for line in filters if "regexp_extract" in line]
+    want: dict = {}
+    for i in range(40):
+        if i != 3 and i % 8 > 1:
+            k = (f"T{i % 2}", 2024, 1 + i % 4, f"2024WW0{1 + i % 4}")
+            want[k] = want.get(k, 0) + 1
+    got = {(r.entity, r.ww_year, r.ww_number, r.work_week): r.total_pm_events for r in scores.collect()}
+    assert got == want
+    assert "_placed" not in scores.columns
