@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -196,6 +197,23 @@ def test_patterns_use_every_length_once(counts):
         assert own[0][0] == 0 and own[-1][1] == n - 1 and all(x[1] + 1 == y[0] for x, y in zip(own, own[1:]))
 
 
+def test_packing_encodes_few_bytes_at_once(spark, monkeypatch):
+    """A worker's memory follows the bytes of text that it encodes in one go."""
+    most = []
+
+    class Counted:
+        def encode(self, texts):
+            most.append(sum(map(len, texts)))
+            return [b"" for _ in texts]
+
+    monkeypatch.setattr("toolwatch.llm.packing.arrow_map", lambda df, run, schema: run)
+    monkeypatch.setattr("toolwatch.llm.packing.library_encoder", lambda vocab_file: Counted())
+    run = cut_pieces(spark.createDataFrame([], SCHEMA), WORD, 1, 10)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(128)), "text": ["word " * 819] * 128})  # half a MiB
+    assert sum(b.num_rows for b in run(iter([batch] * 16))) == 16 * 128
+    assert len(most) > 1 and sum(most) == 16 * 128 * 819 * 5 and max(most) <= 3 << 20
+
+
 def test_packing(spark, docs, empty, word):
     many = docs.unionByName(docs.selectExpr("doc_id + 1000 as doc_id", "text", "ids", "file"))
     got = pack(many, WORD, 1, max_tokens=256, piece_tokens=128, with_ids=True).collect()
