@@ -123,6 +123,28 @@ def test_library_encoder_equals_the_library(word):
         assert [ids_of(x) for x in library_encoder(f).encode(ODD)] == [t.encode(x, add_special_tokens=False).ids for x in ODD]
 
 
+def test_library_encoder_of_letters_that_change_by_the_normalizer(word):
+    """A letter that the normalizer turns into a letter and a mark: the mark goes with the marks behind it."""
+    texts = ["İ,", "a İ. b", "क़.", "é́, ǅ. ß! Σ. x_ K.", "don't, l'İ' (a), a--b... |a| word|| 中文!!!!!! ª. ß"]
+    r = random.Random(11)
+    texts += ["".join(r.choice("aZéÉßÿÑªİıΣς中क़ǅ \n\t'',.!%|_(01²\u0301\u0307") for _ in range(50)) for _ in range(300)]
+    got = [ids_of(x) for x in library_encoder(WORD).encode(texts)]
+    assert got == [word.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_words_are_encoded_once_whatever_marks_and_case_they_have():
+    asked = []
+
+    def tight(strings):
+        asked.extend(strings)
+        return [b"\1\0\0\0"] * len(strings)
+
+    e = ChunkEncoder(lambda strings: [b"\2\0\0\0" if s else b"" for s in strings], words=True, encode_tight=tight)
+    got = e.encode(["Word word, WORD!! word.\nword)", "über über!!! über,"])
+    assert sorted(asked) == ["word", "über"]
+    assert [ids_of(x) for x in got] == [[1, 1, 2, 1, 2, 1, 2, 1, 2], [1, 1, 2, 1, 2]]
+
+
 def test_plane_files(spark, docs, empty):
     lib = Tokenizer.from_file(BYTE)
     lib.encode_special_tokens = True
