@@ -7,7 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from toolwatch import sinks
-from toolwatch.plans import catalog
+from toolwatch.plans import catalog, jobs
 
 
 def shuffle_files(spark):
@@ -54,3 +54,22 @@ def test_rendered_files_go_when_they_are_loaded(spark, tmpdir_path):
     run = os.path.dirname(layout.root)
     assert os.listdir(run) == ["warehouse"]
     assert spark.read.parquet(layout.raw).count() == 120
+
+
+EVENTS = "pm_raw_id string, v int"
+
+
+def test_a_load_of_new_files_is_not_shuffled_to_meet_enriched_ids(spark):
+    raw = spark.createDataFrame([("f1#1", 1), ("f1#1", 2), (None, 3), ("noname", 4)], EVENTS).repartition(3)
+    done = spark.createDataFrame([("f0#1", 9), ("f0#2", 9), (None, 9)], EVENTS).repartition(3)
+    out = jobs._not_enriched(raw, done)
+    assert sorted(r.v for r in out.collect()) == [1, 2, 3, 4]
+    assert "hashpartitioning(pm_raw_id" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_a_load_that_died_half_way_are_taken_once(spark, monkeypatch):
+    raw = spark.createDataFrame([("f1#1", 1), ("f1#2", 2), ("f1#-3", 3), ("f2#1", 4), (None, 5), ("noname", 6), ("7", 7)], EVENTS)
+    done = spark.createDataFrame([("f1#1", 0), ("f1#-3", 0), ("f3#1", 0), (None, 0), ("noname", 0)], EVENTS)
+    for most in (jobs.FILES_BY_NAME, 1, 0):  # also with more files on both sides than are searched by name
+        monkeypatch.setattr(jobs, "FILES_BY_NAME", most)
+        assert sorted(r.v for r in jobs._not_enriched(raw, done).collect()) == [2, 4, 5, 7]
