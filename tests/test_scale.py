@@ -7,6 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from toolwatch import sinks
+from toolwatch.operators import chronic as chr_
 from toolwatch.plans import catalog, jobs
 
 
@@ -73,3 +74,24 @@ def test_rows_of_a_load_that_died_half_way_are_taken_once(spark, monkeypatch):
     for most in (jobs.FILES_BY_NAME, 1, 0):  # also with more files on both sides than are searched by name
         monkeypatch.setattr(jobs, "FILES_BY_NAME", most)
         assert sorted(r.v for r in jobs._not_enriched(raw, done).collect()) == [2, 4, 5, 7]
+
+
+def test_a_history_of_these_weeks_alone_is_scored_once(spark, monkeypatch):
+    rows = [("T1", "A", "C", 2024, w, float(w), w % 2) for w in (1, 2, 3)] + [("T2", "A", "C", 2024, 2, 5.0, 1)]
+    scores = spark.createDataFrame(rows, "entity string, facility string, ceid string, ww_year int, ww_number int, chronic_score double, chronic_flag int")
+    whole = chr_.with_changes(scores)
+    weeks = [(2024, 3), (2024, 1), (2024, 2)]
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        runs.add(1)
+        yield from batches
+
+    once = scores.coalesce(1).mapInArrow(counted, scores.schema)
+    out, touched = chr_.chronic_weekly_update(once, whole, weeks)
+    assert sorted(out.collect()) == sorted(whole.collect()) and touched == sorted(weeks)
+    assert runs.value == 1
+    # With another week stored, the next week of a tool is found and mended as before.
+    out, touched = chr_.chronic_weekly_update(scores.filter("ww_number = 1"), whole, [(2024, 1)])
+    assert touched == [(2024, 1), (2024, 2)]
+    assert sorted(out.collect()) == sorted(whole.filter("ww_number < 3").collect())
