@@ -2,14 +2,18 @@
 
 import datetime as dt
 import os
+import threading
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from toolwatch import sinks
 from toolwatch.operators import chronic as chr_
 from toolwatch.plans import catalog, jobs
 
+AS_OF = dt.datetime(2024, 6, 1)
+
 
 def shuffle_files(spark):
     found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
@@ -76,6 +80,46 @@ def test_rows_of_a_load_that_died_half_way_are_taken_once(spark, monkeypatch):
         assert sorted(r.v for r in jobs._not_enriched(raw, done).collect()) == [2, 4, 5, 7]
 
 
+@pytest.fixture(scope="module")
+def silver_layout(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("scale"))
+    star_tables(spark, root)
+    _, layout, load = catalog._ingested(spark, root, "gold")
+    load(0)
+    jobs.silver(spark, layout, as_of=AS_OF)
+    return layout
+
+
+def test_two_facts_are_built_at_once(spark, silver_layout, monkeypatch):
+    met, write = threading.Barrier(2, timeout=60), sinks.write_table
+    first = {silver_layout.site, silver_layout.ceid}
+
+    def together(df, path, *a, **k):
+        if path in first:
+            met.wait()
+        return write(df, path, *a, **k)
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    own = spark.conf.get(key, None)
+    monkeypatch.setattr(sinks, "write_table", together)
+    out = jobs.gold(spark, silver_layout, as_of=AS_OF)
+    assert out["site_rows"] == spark.read.parquet(silver_layout.site).count() > 0
+    assert spark.conf.get(key, None) == own
+
+
+def test_a_fact_that_fails_is_told_and_settings_come_back(spark, silver_layout, monkeypatch):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    own = spark.conf.get(key, None)
+
+    def broken(*a, **k):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(jobs.kpis, "ceid_week_kpis", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.gold(spark, silver_layout, as_of=AS_OF)
+    assert spark.conf.get(key, None) == own
+
+
 def test_a_history_of_these_weeks_alone_is_scored_once(spark, monkeypatch):
     rows = [("T1", "A", "C", 2024, w, float(w), w % 2) for w in (1, 2, 3)] + [("T2", "A", "C", 2024, 2, 5.0, 1)]
     scores = spark.createDataFrame(rows, "entity string, facility string, ceid string, ww_year int, ww_number int, chronic_score double, chronic_flag int")
